@@ -4,6 +4,16 @@ from pyspark.sql import types as T
 
 _STRINGS = T.ArrayType(T.StringType())
 
+# A file as Spark's binaryFile source gives it.
+FILES = T.StructType(
+    [
+        T.StructField("path", T.StringType(), False),
+        T.StructField("modificationTime", T.TimestampType(), False),
+        T.StructField("length", T.LongType(), False),
+        T.StructField("content", T.BinaryType()),
+    ]
+)
+
 # One row per registered document. `updated` is the load time.
 SOURCE_DOCS = T.StructType(
     [

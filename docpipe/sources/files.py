@@ -1,5 +1,6 @@
 """Files as rows."""
 
+import re
 from collections.abc import Iterator
 from itertools import islice
 
@@ -40,7 +41,16 @@ def discover(
 
 
 def path_batches(paths: DataFrame, size: int) -> Iterator[list[str]]:
-    """The one path column in lists of at most `size`, one partition at a time."""
+    """The one path column in lists of at most `size`, fetched one partition at a time.
+
+    Spark plans a file scan from a list of paths on the driver. Lists of bounded size
+    keep that list small however many files wait.
+    """
     rows = paths.toLocalIterator()
     while batch := [r[0] for r in islice(rows, size)]:
         yield batch
+
+
+def scan_exactly(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """The files of these names, where `*`, `[` and the like are plain characters."""
+    return scan_files(spark, [re.sub(r"([\\*?\[\]{}])", r"\\\1", p) for p in paths])
