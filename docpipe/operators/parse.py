@@ -21,7 +21,7 @@ ENTITIES = {
     "&#39;": "'",
     "&lt;": "<",
     "&gt;": ">",
-    "&nbsp;": " ",
+    "&nbsp;": "\u00a0",
     "&copy;": "©",
     "&middot;": "·",
     "&amp;": "&",
@@ -55,6 +55,8 @@ def html_elements(html: Column) -> Column:
     page = F.regexp_replace(page, r"(?i)</(?:h1|p|div|article|body|html)\s*>", MARK + "x")
     page = F.regexp_replace(page, r"(?i)<br\s*/?>", "\n")
     page = F.regexp_replace(page, r"<[^>]*>", "")
+    # What stands before the first mark is no element.
+    page = F.concat(F.lit("x"), page)
     pieces = F.filter(F.split(page, MARK), lambda p: p.rlike(f"^[hp][{SPACE}]*[^{SPACE}]"))
     return F.transform(
         pieces,

@@ -1,0 +1,135 @@
+import json
+from datetime import datetime
+
+import pytest
+from conftest import plan_of
+from pyspark.sql import functions as F
+
+from docpipe import schemas
+from docpipe.functions import sql
+from docpipe.operators import chunks
+
+
+def doc(*elements):
+    return json.dumps({"document": {"elements": list(elements)}})
+
+
+def el(content, id="a", type="text"):
+    return {"id": id, "type": type, "content": content}
+
+
+GOOD = el("g", "b")
+# Parsed JSON and its (chunk_id, content).
+CASES = [
+    (doc(el("x"), el("y", "b", "table")), [("a", "x")]),
+    (doc(el("x", 1)), [("1", "x")]),
+    (doc({"type": "text", "content": "x"}), [("e0", "x")]),
+    (doc(el("x", None)), [("e0", "x")]),
+    (doc(el("x", "")), [("e0", "x")]),
+    (doc(el(None), GOOD), [("b", "g")]),
+    (doc(el(5), GOOD), [("a", "5"), ("b", "g")]),
+    (doc(el("  \n")), []),
+    (doc(None, GOOD), [("b", "g")]),
+    (doc(el("x", type="Text")), []),
+    ('{"document":null}', []),
+    ('{"x":1}', []),
+    ("[1]", []),
+    ("not json", []),
+    ("", []),
+    (None, []),
+    ('{"document":{"elements":null}}', []),
+    ('{"document":{"elements":{"id":"b","type":"text","content":"g"}}}', []),
+    (doc(GOOD) + " and more", [("b", "g")]),
+]
+
+
+@pytest.fixture(scope="module")
+def cases(spark):
+    return spark.createDataFrame(
+        [(i, c[0]) for i, c in enumerate(CASES)], "i int, parsed_content string"
+    )
+
+
+def by_case(rows):
+    got = {i: [] for i in range(len(CASES))}
+    for r in sorted(rows, key=lambda r: (r.i, r.element_ix)):
+        got[r.i].append((r.chunk_id, r.content))
+    return [got[i] for i in range(len(CASES))]
+
+
+def test_elements(cases):
+    rows = cases.select("i", F.inline(chunks.elements(F.col("parsed_content")))).collect()
+    assert by_case(rows) == [c[1] for c in CASES]
+
+
+def test_elements_as_sql_table_function(spark, cases):
+    sql.register(spark)
+    rows = spark.sql(
+        "SELECT i, e.* FROM {cases}, LATERAL extract_chunks(parsed_content) AS e", cases=cases
+    ).collect()
+    assert by_case(rows) == [c[1] for c in CASES]
+
+
+def parsed(spark, *rows):
+    return spark.createDataFrame([(p, c, datetime(2024, 1, 1)) for p, c in rows], schemas.PARSED_DOCS)
+
+
+def source(spark, *rows):
+    return spark.createDataFrame(
+        [(p, f, t, a, None, None, u, None, None) for p, f, t, a, u in rows], schemas.SOURCE_DOCS
+    )
+
+
+def test_chunk_table(spark):
+    docs = parsed(
+        spark,
+        ("dbfs:/a", doc(el("docu-\nments", 1), el("two", 2))),
+        ("/b", doc(el("three", None))),
+        ("/c", doc(el("four", 4))),
+    )
+    registry = source(
+        spark, ("/a", "f1", "A", ["x", "y"], None), ("/b", "f2", "B", None, None)
+    )
+    built = chunks.build(docs, registry)
+    assert built.columns == schemas.CHUNKS.names
+    assert [f.dataType for f in built.schema] == [f.dataType for f in schemas.CHUNKS]
+    assert {tuple(r) for r in built.collect()} == {
+        ("/a", "1", "documents", "/a_1", "A", "x, y", 0),
+        ("/a", "2", "two", "/a_2", "A", "x, y", 1),
+        ("/b", "e0", "three", "/b_e0", "B", "", 0),
+        ("/c", "4", "four", "/c_4", None, None, 0),
+    }
+
+
+def test_without_registry(spark):
+    built = chunks.build(parsed(spark, ("/a", doc(el("x", 1)))))
+    assert built.columns == schemas.CHUNKS.names
+    assert tuple(built.first()) == ("/a", "1", "x", "/a_1", None, None, 0)
+
+
+def test_two_files_of_one_path_do_not_double_chunks(spark):
+    registry = source(
+        spark,
+        ("/a", "f1", "old", None, datetime(2024, 1, 1)),
+        ("/a", "f2", "new", ["x"], datetime(2024, 2, 1)),
+        ("/a", "f3", "undated", None, None),
+    )
+    built = chunks.build(parsed(spark, ("/a", doc(el("x", 1)))), registry)
+    assert [tuple(r)[4:6] for r in built.collect()] == [("new", "x")]
+
+
+def test_metadata_joins_documents_not_chunks(spark):
+    docs = parsed(spark, ("/a", doc(el("x", 1))))
+    plan = plan_of(chunks.build(docs, source(spark, ("/a", "f", "A", None, None))))
+    assert "Python" not in plan and "Arrow" not in plan
+    # The explode stands above the join.
+    assert plan.index("Generate") < plan.index("Join")
+
+
+def test_save_is_bucketed(spark, db):
+    rows = chunks.build(parsed(spark, ("/a", doc(el("x", 1), el("y", 2)))))
+    chunks.save(rows, f"{db}.chunks", 4)
+    chunks.save(rows, f"{db}.chunks", 4)
+    saved = spark.table(f"{db}.chunks")
+    assert saved.count() == 2
+    assert "Exchange" not in plan_of(saved.groupBy("id").count())

@@ -1,0 +1,69 @@
+from datetime import datetime
+
+from conftest import plan_of
+from pyspark.sql import functions as F
+
+from docpipe import schemas
+from docpipe.operators import registry, tables
+
+
+def test_pending(spark):
+    source = spark.createDataFrame(
+        [("/a",), ("/b",), ("/c",), (None,), (None,)], "doc_path string"
+    )
+    parsed = spark.createDataFrame([("dbfs:/a",), ("/b",), ("/b",), (None,)], "path string")
+    left = registry.pending(source, parsed)
+    assert sorted(str(r[0]) for r in left.collect()) == ["/c", "None", "None"]
+    plan = plan_of(left)
+    assert "LeftAnti" in plan and "LeftOuter" not in plan
+
+
+def test_new_files(spark):
+    listing = spark.createDataFrame([("f1", "x"), ("f2", "y")], "source_file_id string, name string")
+    source = spark.createDataFrame([("f1",), (None,)], "source_file_id string")
+    assert [tuple(r) for r in registry.new_files(listing, source).collect()] == [("f2", "y")]
+
+
+def test_exists_many(spark):
+    ids = spark.createDataFrame([("f1",), ("f2",), ("f1",)], "source_file_id string")
+    source = spark.createDataFrame([("f1",), ("f1",), ("f3",)], "source_file_id string")
+    got = sorted(tuple(r) for r in registry.exists_many(ids, source).collect())
+    assert got == [("f1", True), ("f1", True), ("f2", False)]
+
+
+def test_register_fills_the_rest_with_null(spark, db):
+    name = f"{db}.source_docs"
+    tables.ensure(spark, name, schemas.SOURCE_DOCS)
+    tables.ensure(spark, name, schemas.SOURCE_DOCS)
+    rows = spark.createDataFrame([("f1", "/it's")], "source_file_id string, doc_path string")
+    registry.register(rows, name)
+    row = spark.table(name).first()
+    assert (row.doc_path, row.source_file_id) == ("/it's", "f1")
+    assert isinstance(row.updated, datetime)
+    rest = ("title", "authors", "summary", "published", "links", "categories")
+    assert all(row[c] is None for c in rest)
+    assert spark.table(name).schema == schemas.SOURCE_DOCS
+
+
+def test_catalogue_table(spark, db):
+    name = f"{db}.catalogue"
+    tables.ensure(spark, name, schemas.CATALOGUE)
+    assert spark.table(name).columns == [
+        "id",
+        "source_file_id",
+        "title",
+        "authors",
+        "summary",
+        "published",
+        "updated",
+        "links",
+        "categories",
+    ]
+
+
+def test_reset_skips_missing_tables(spark, db):
+    name = f"{db}.parsed_docs"
+    tables.ensure(spark, name, schemas.PARSED_DOCS)
+    tables.append(spark.range(3).select(F.col("id").cast("string").alias("path")), name)
+    assert tables.reset(spark, name, f"{db}.absent") == [name]
+    assert spark.table(name).isEmpty()

@@ -1,0 +1,77 @@
+import pytest
+from pyspark.sql import functions as F
+
+from docpipe.functions import sql, text
+
+CLEANING = [
+    ("docu-\nments", "documents"),
+    ("a-\nb-\nc", "ab- c"),
+    ("über-\nän", "überän"),
+    ("foo- \n \n bar", "foobar"),
+    ("-\nx", "- x"),
+    ("co-op\tx", "co-op x"),
+    ("x\u00a0\u00a0y", "x y"),
+    ("a\u0085b", "a b"),
+    ("a\u2028b", "a b"),
+    ("a\x1cb", "a b"),
+    ("e\u0301-\nx", "e\u0301- x"),
+    ("a\u200bb", "a\u200bb"),
+    ("a-\r\n\u00a0b", "ab"),
+    ("1-\n_", "1_"),
+    (None, ""),
+    ("", ""),
+    (" \n ", ""),
+]
+
+
+@pytest.fixture(scope="module")
+def cleaning(spark):
+    return spark.createDataFrame(CLEANING, "t string, want string")
+
+
+def test_clean_text(cleaning):
+    got = cleaning.select("t", "want", text.clean_text(F.col("t")).alias("got")).collect()
+    assert [r.got for r in got] == [r.want for r in got]
+
+
+def test_clean_text_as_sql_function(spark, cleaning):
+    sql.register(spark)
+    got = cleaning.selectExpr("want", "clean_chunk(t) AS got").collect()
+    assert [r.got for r in got] == [r.want for r in got]
+
+
+def test_clean_text_of_long_white_space_is_linear(spark):
+    # 400,000 breaks behind a hyphen; a pattern that gives back would need 10^10 steps.
+    df = spark.range(1).select(F.concat(F.lit("a-"), F.repeat(F.lit("\n"), 400_000)).alias("t"))
+    assert df.select(text.clean_text(F.col("t"))).first()[0] == "a-"
+
+
+def test_clean_twice_is_clean(cleaning):
+    once = text.clean_text(F.col("t"))
+    no_hyphen = cleaning.where(~F.coalesce(F.col("t"), F.lit("")).contains("-"))
+    assert no_hyphen.where(text.clean_text(once) != once).isEmpty()
+
+
+def test_has_text(spark):
+    rows = [("  \n",), ("\u2028\x1f",), ("\u200b",), ("x",)]
+    df = spark.createDataFrame(rows, "t string")
+    assert [r[0] for r in df.select(text.has_text(F.col("t"))).collect()] == [
+        False,
+        False,
+        True,
+        True,
+    ]
+
+
+def test_paths_names_and_keys(spark):
+    row = spark.createDataFrame(
+        [("dbfs:/a/dbfs:/b", """it's "x".pdf""", ["A", "B"], None)],
+        "path string, name string, authors array<string>, nobody array<string>",
+    ).select(
+        text.norm_path(F.col("path")),
+        text.safe_name(F.col("name")),
+        text.join_authors(F.col("authors")),
+        text.join_authors(F.col("nobody")),
+        text.chunk_key(F.lit("/a"), F.lit("3")),
+    )
+    assert tuple(row.first()) == ("/a/dbfs:/b", "its x.pdf", "A, B", "", "/a_3")

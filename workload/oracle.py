@@ -37,7 +37,7 @@ def _without_noise(page: str) -> str:
     page = f"regexp_replace({page}, '<p\\b[^>]*>', chr(2) || 'p', 'gi')"
     page = f"regexp_replace({page}, '</(?:h1|p|div|article|body|html)\\s*>', chr(2) || 'x', 'gi')"
     page = f"regexp_replace({page}, '<br\\s*/?>', chr(10), 'gi')"
-    return f"regexp_replace({page}, '<[^>]*>', '', 'g')"
+    return f"'x' || regexp_replace({page}, '<[^>]*>', '', 'g')"
 
 
 ELEMENTS = f"""
