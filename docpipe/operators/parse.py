@@ -4,7 +4,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docpipe.functions.text import SPACE, norm_path
-from docpipe.operators import registry, tables
+from docpipe.operators import tables
 
 # What a reader does not see as content: comments, machine text, navigation, ads.
 NOISE = (
@@ -99,6 +99,7 @@ def to_markdown(elements: Column) -> Column:
 
 def append_parsed(parsed: DataFrame, table: str) -> None:
     """Append the documents that the table does not hold, so a rerun adds nothing."""
-    held = parsed.sparkSession.table(table)
-    new = registry.pending(parsed.withColumn("doc_path", norm_path(F.col("path"))), held)
+    doc_path = norm_path(F.col("path")).alias("doc_path")
+    held = parsed.sparkSession.table(table).select(doc_path).distinct()
+    new = parsed.select(doc_path, "*").join(held, "doc_path", "left_anti")
     tables.append(new, table)

@@ -3,7 +3,7 @@
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _local_roots: dict[str, str] = {}
 
@@ -31,3 +31,13 @@ def new_database(spark: SparkSession, name: str) -> str:
     database = f"{name}_{uuid.uuid4().hex[:12]}"
     spark.sql(f"CREATE DATABASE {database} LOCATION '{shared_root(spark)}/{database}'")
     return database
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """The rows, computed once and kept as files below the shared root.
+
+    Files survive lost executors, and Spark knows their size when it plans what follows.
+    """
+    path = new_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

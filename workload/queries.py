@@ -21,7 +21,7 @@ from docpipe.operators import (
     tables,
 )
 from docpipe.plans import jobs
-from docpipe.shared import new_database, new_dir
+from docpipe.shared import new_database, new_dir, written
 from docpipe.sources.files import discover, scan_files
 from docpipe.sources.tables import optional_table, read_table
 from docpipe.streaming import runs
@@ -208,9 +208,10 @@ def _parsed_pages(spark: SparkSession, sf_dir: str) -> tuple[str, str, str]:
 
 
 def parsed_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The parse job run twice holds each document once."""
+    """The parse job run twice, and its rows appended once more, hold each document once."""
     _, source, parsed = _parsed_pages(spark, sf_dir)
     jobs.parse_pending(spark, source, parsed)
+    parse.append_parsed(read_table(spark, parsed), parsed)
     return read_table(spark, parsed).select(
         data.page_of().alias("page_id"),
         F.size(
@@ -288,19 +289,23 @@ def _state(idx: index.VectorIndex) -> DataFrame:
     )
 
 
+def _synced(spark: SparkSession, sf_dir: str) -> index.VectorIndex:
+    """An index that followed the chunk table from the first snapshot to the second."""
+    db = new_database(spark, "sync")
+    idx = index.VectorIndex(spark, f"{db}.index")
+    for snapshot in (data.old_chunks, data.new_chunks):
+        chunks.save(snapshot(spark, sf_dir), f"{db}.chunks", idx.buckets)
+        idx.sync(spark.table(f"{db}.chunks"))
+    return idx
+
+
 def synced(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two snapshots synced one after the other."""
-    idx = index.VectorIndex(spark, f"{new_database(spark, 'sync')}.index")
-    idx.sync(data.old_chunks(spark, sf_dir))
-    idx.sync(data.new_chunks(spark, sf_dir))
-    return _state(idx)
+    return _state(_synced(spark, sf_dir))
 
 
 def compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same with the changes written into a new base."""
-    idx = index.VectorIndex(spark, f"{new_database(spark, 'sync')}.index")
-    idx.sync(data.old_chunks(spark, sf_dir))
-    idx.sync(data.new_chunks(spark, sf_dir))
+    idx = _synced(spark, sf_dir)
     idx.compact()
     return _state(idx)
 
@@ -342,7 +347,8 @@ def _hits(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
 
 
 def top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return search.with_columns(_hits(spark, sf_dir), data.line_chunks(spark, sf_dir))
+    hits = written(_hits(spark, sf_dir), "hits")
+    return search.with_columns(hits, data.line_chunks(spark, sf_dir))
 
 
 def top_k_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -354,7 +360,7 @@ def top_k_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Search in English and German lines only."""
     lines = search.apply_filters(data.line_chunks(spark, sf_dir), {"authors": ["en", "de"]})
     hits = search.top_k(_asked(spark, sf_dir), embed.hashed(lines, "id", "text"), k=5)
-    return search.with_columns(hits, lines)
+    return search.with_columns(written(hits, "hits"), lines)
 
 
 def contexts(spark: SparkSession, sf_dir: str) -> DataFrame:
