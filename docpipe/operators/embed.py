@@ -47,6 +47,35 @@ def counts(column: pa.Array, dim: int) -> np.ndarray:
     return np.bincount(rows * dim + values, minlength=len(column) * dim).reshape(-1, dim)
 
 
+def _dense(column: pa.Array) -> np.ndarray:
+    """Float lists of one length → matrix, with zeros for NULL."""
+    flat = np.asarray(column.flatten(), dtype=np.float64)
+    there = np.asarray(column.is_valid())
+    width = len(flat) // max(1, there.sum())
+    matrix = np.zeros((len(column), width))
+    matrix[there] = flat.reshape(there.sum(), width)
+    return matrix
+
+
+class Vectors:
+    """An Arrow column of vectors as a matrix, with norms and a float32 unit copy."""
+
+    def __init__(self, column: pa.Array | pa.ChunkedArray, dim: int | None):
+        if isinstance(column, pa.ChunkedArray):
+            column = column.combine_chunks()
+        if dim:
+            self.exact = counts(column, dim).astype(np.float64)
+        else:
+            self.exact = _dense(column)
+        self.norm2 = (self.exact * self.exact).sum(axis=1)
+        self.usable = self.norm2 > 0
+        safe = np.sqrt(np.where(self.usable, self.norm2, 1.0))
+        self.unit = (self.exact / safe[:, None]).astype(np.float32)
+
+    def __len__(self) -> int:
+        return len(self.exact)
+
+
 def hashed_counts(df: DataFrame, key: str, text: str, dim: int = DIM) -> DataFrame:
     """One row per key and bucket: how many words fell in it, and the squared norm.
 
@@ -74,19 +103,22 @@ def hashed_counts(df: DataFrame, key: str, text: str, dim: int = DIM) -> DataFra
     return vectors.mapInArrow(count, f"{key} {key_type}, bucket int, n bigint, norm2 bigint")
 
 
-def unit_vectors(df: DataFrame, key: str, vec: str = "vec", dim: int = DIM) -> DataFrame:
-    """Bucket lists → unit vectors (key, embedding ARRAY<FLOAT>), for cells and other tools."""
-    key_type = df.schema[key].dataType.simpleString()
+def unit_vectors(df: DataFrame, key: str, dim: int | None = DIM) -> DataFrame:
+    """(key, vec, unit): `vec`, as for `Vectors`, with its unit vector as ARRAY<FLOAT>."""
+    key_type, vec_type = (df.schema[c].dataType.simpleString() for c in (key, "vec"))
 
     def scale(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            matrix = counts(batch.column(vec), dim).astype(np.float64)
-            matrix /= np.sqrt((matrix * matrix).sum(axis=1, keepdims=True))
-            flat = pa.array(matrix.astype(np.float32).ravel())
-            offsets = pa.array(np.arange(len(matrix) + 1, dtype=np.int32) * dim)
+            unit = Vectors(batch.column("vec"), dim).unit
+            offsets = pa.array(np.arange(len(unit) + 1, dtype=np.int32) * unit.shape[1])
             yield pa.RecordBatch.from_arrays(
-                [batch.column(key), pa.ListArray.from_arrays(offsets, flat)],
-                names=[key, "embedding"],
+                [
+                    batch.column(key),
+                    batch.column("vec"),
+                    pa.ListArray.from_arrays(offsets, pa.array(unit.ravel())),
+                ],
+                names=[key, "vec", "unit"],
             )
 
-    return df.select(key, vec).mapInArrow(scale, f"{key} {key_type}, embedding array<float>")
+    schema = f"{key} {key_type}, vec {vec_type}, unit array<float>"
+    return df.select(key, "vec").where(F.col("vec").isNotNull()).mapInArrow(scale, schema)

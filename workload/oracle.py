@@ -267,6 +267,7 @@ def all_oracles() -> dict[str, str]:
         "q_context": f"WITH {_ranked()} SELECT * FROM contexts",
         "q_prompts": f"WITH {_ranked()} SELECT * FROM prompts",
         "q_indexed_prompts": f"WITH {_ranked(FILTERED)} SELECT qid, prompt FROM prompts",
+        "q_cell_prompts": f"WITH {_ranked()} SELECT qid, prompt FROM prompts",
         "q_stream_parse": f"WITH {ELEMENTS} SELECT page_id, id, type, content FROM elements",
         "q_stream_sync": f"""
             WITH {ELEMENTS}, texts AS (

@@ -327,8 +327,8 @@ def knn_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _cells(spark: SparkSession, sf_dir: str, n: int) -> tuple[DataFrame, np.ndarray]:
     path = new_dir(spark, "cells")
-    centers = index.build_cells(_vectors(spark, sf_dir, "id"), path, n)
-    return spark.read.parquet(path), centers
+    index.build_cells(_vectors(spark, sf_dir, "id"), path, n)
+    return index.read_cells(spark, path)
 
 
 def top_k_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -383,6 +383,17 @@ def indexed_prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).select("qid", "prompt")
 
 
+def cell_prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The question job on text vectors in cells, all of them probed."""
+    path = new_dir(spark, "cells")
+    lines = data.line_chunks(spark, sf_dir)
+    index.build_cells(embed.hashed(lines, "id", "text"), path, 16, embed.DIM)
+    cells, centers = index.read_cells(spark, path)
+    return jobs.answer_prompts(
+        data.questions(spark, sf_dir), cells, lines, centers=centers, nprobe=16
+    ).select("qid", "prompt")
+
+
 # Streams
 
 
@@ -468,6 +479,7 @@ def all_queries() -> dict:
         "q_context": contexts,
         "q_prompts": prompts,
         "q_indexed_prompts": indexed_prompts,
+        "q_cell_prompts": cell_prompts,
         "q_stream_parse": stream_parse,
         "q_stream_sync": stream_sync,
     }
