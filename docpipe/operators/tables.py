@@ -1,4 +1,4 @@
-"""Create, append to and empty typed tables."""
+"""Create, append to, replace and empty tables."""
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,3 +30,35 @@ def reset(spark: SparkSession, *names: str) -> list[str]:
     for name in present:
         spark.sql(f"TRUNCATE TABLE {name}")
     return present
+
+
+# Spark drops a repartition of rows that already come by bucket, as it should. These two
+# would then let a task hold rows of many buckets and write a file for each: reading
+# bucketed tables by file split, and merging small shuffle partitions.
+BUCKET_WRITE = {
+    "spark.sql.sources.bucketing.autoBucketedScan.enabled": "false",
+    "spark.sql.adaptive.coalescePartitions.enabled": "false",
+}
+
+
+def save_bucketed(df: DataFrame, name: str, key: str, buckets: int) -> None:
+    """Replace the table with the rows in one sorted file per bucket of the key.
+
+    Tables with the same buckets are grouped and joined by the key without a shuffle.
+    """
+    conf = df.sparkSession.conf
+    before = {setting: conf.get(setting) for setting in BUCKET_WRITE}
+    for setting, value in BUCKET_WRITE.items():
+        conf.set(setting, value)
+    try:
+        (
+            df.repartition(buckets, key)
+            .write.mode("overwrite")
+            .format("parquet")
+            .bucketBy(buckets, key)
+            .sortBy(key)
+            .saveAsTable(name)
+        )
+    finally:
+        for setting, value in before.items():
+            conf.set(setting, value)
