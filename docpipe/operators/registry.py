@@ -8,13 +8,18 @@ from docpipe.operators import tables
 
 
 def _without(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
-    """Rows of `left` whose key is not in `right`.
+    """Rows of `left` whose key is not in `right`; rows without a key never match.
 
-    Rows without a key never match. They stay outside the join, which would send all
-    of them to one task. Repeated keys on the right shrink to one before the shuffle.
+    A row without a key gets a number of its own to join by, so that many of them are
+    spread over the tasks. Repeated keys on the right shrink to one before the shuffle.
     """
-    keyed = left.where(F.col(key).isNotNull()).join(right.distinct(), key, "left_anti")
-    return keyed.unionByName(left.where(F.col(key).isNull()))
+    own = F.concat(F.lit("\0"), F.monotonically_increasing_id())
+    known = right.select(F.col(key).alias("known")).distinct()
+    return (
+        left.withColumn("known", F.coalesce(F.col(key), own))
+        .join(known, "known", "left_anti")
+        .drop("known")
+    )
 
 
 def register(new_files: DataFrame, table: str) -> None:

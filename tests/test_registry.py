@@ -18,6 +18,21 @@ def test_pending(spark):
     assert "LeftAnti" in plan and "LeftOuter" not in plan
 
 
+def test_rows_without_key_are_spread(spark):
+    nobody = spark.range(1000).select(F.lit(None).cast("string").alias("doc_path"))
+    parsed = spark.createDataFrame([("/a",)], "path string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        left = registry.pending(nobody, parsed)
+        sizes = left.groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert sum(r["count"] for r in sizes) == 1000
+    assert max(r["count"] for r in sizes) < 400
+
+
 def test_new_files(spark):
     listing = spark.createDataFrame([("f1", "x"), ("f2", "y")], "source_file_id string, name string")
     source = spark.createDataFrame([("f1",), (None,)], "source_file_id string")
