@@ -9,6 +9,24 @@ from pyspark.sql import functions as F
 SPACE = r"\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 BREAK = r"\t\x0b-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 WORD = r"\p{L}\p{N}_"
+SPACE_CHARS = "".join(
+    map(
+        chr,
+        (
+            *range(0x09, 0x0E),
+            *range(0x1C, 0x21),
+            0x85,
+            0xA0,
+            0x1680,
+            *range(0x2000, 0x200B),
+            0x2028,
+            0x2029,
+            0x202F,
+            0x205F,
+            0x3000,
+        ),
+    )
+)
 
 # A hyphen at a line end between two word characters, with both characters captured.
 # The two possessive runs cannot give back, so long white space costs linear time.
@@ -40,6 +58,11 @@ def clean_text(text: Column) -> Column:
     return F.trim(F.regexp_replace(joined, f"[{SPACE}]+", " "))
 
 
+def strip(text: Column) -> Column:
+    """Text without white space at its ends. A pattern would look at inner runs again and again."""
+    return F.btrim(text, F.lit(SPACE_CHARS))
+
+
 def has_text(text: Column) -> Column:
     """True if there is a character that is not white space."""
     return text.rlike(f"[^{SPACE}]")

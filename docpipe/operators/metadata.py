@@ -13,7 +13,7 @@ def extract(pages: DataFrame, html: str = "html") -> DataFrame:
     Pages name neither authors nor a date of publication; those stay NULL.
     """
     page = F.col(html)
-    title = parse.decode_entities(F.regexp_extract(page, r"(?is)<title\b[^>]*>(.*?)</title\s*>", 1))
+    title = parse.decode_entities(F.regexp_extract(page, r"(?i)<title\b[^<>]*>([^<]*)", 1))
     first_text = F.get(F.filter(parse.html_elements(page), lambda e: e["type"] == "text"), F.lit(0))
     return pages.select(
         "*",

@@ -3,14 +3,24 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docpipe.functions.text import SPACE, norm_path
+from docpipe.functions.text import SPACE, norm_path, strip
 from docpipe.operators import tables
 
-# What a reader does not see as content: comments, machine text, navigation, ads.
-NOISE = (
-    r"(?s)<!--.*?-->",
-    r"(?is)<(script|style|nav|footer|head)\b.*?</\1\s*>",
-    r'(?is)<div class="ad">.*?</div>',
+# What a reader does not see as content. No pattern may look twice for an end that is not
+# there: a page of open tags would cost the square of its length.
+
+# Comments and machine text. Without an end they run to the end of the page, as in browsers.
+HIDDEN = (
+    r"(?s)<!--.*?(?:-->|\z)",
+    r"(?is)<(script|style)\b.*?(?:</\1\s*>|\z)",
+)
+
+# Navigation, head and ads, removed if they end; else the rest of the page is put back.
+ASIDE = (
+    r"(?is)<nav\b.*?</nav\s*>|(<nav\b.*)",
+    r"(?is)<footer\b.*?</footer\s*>|(<footer\b.*)",
+    r"(?is)<head\b.*?</head\s*>|(<head\b.*)",
+    r'(?is)<div class="ad">.*?</div>|(<div class="ad">.*)',
 )
 
 # Named character references of HTML, `&amp;` last so that nothing is
@@ -48,13 +58,15 @@ def html_elements(html: Column) -> Column:
     An element ends where the next one starts or a block closes, so open tags do no harm.
     """
     page = F.translate(html, MARK, "")
-    for pattern in NOISE:
+    for pattern in HIDDEN:
         page = F.regexp_replace(page, pattern, "")
-    page = F.regexp_replace(page, r"(?i)<h1\b[^>]*>", MARK + "h")
-    page = F.regexp_replace(page, r"(?i)<p\b[^>]*>", MARK + "p")
+    for pattern in ASIDE:
+        page = F.regexp_replace(page, pattern, "$1")
+    page = F.regexp_replace(page, r"(?i)<h1\b[^<>]*>", MARK + "h")
+    page = F.regexp_replace(page, r"(?i)<p\b[^<>]*>", MARK + "p")
     page = F.regexp_replace(page, r"(?i)</(?:h1|p|div|article|body|html)\s*>", MARK + "x")
     page = F.regexp_replace(page, r"(?i)<br\s*/?>", "\n")
-    page = F.regexp_replace(page, r"<[^>]*>", "")
+    page = F.regexp_replace(page, r"<[^<>]*>", "")
     # What stands before the first mark is no element.
     page = F.concat(F.lit("x"), page)
     pieces = F.filter(F.split(page, MARK), lambda p: p.rlike(f"^[hp][{SPACE}]*[^{SPACE}]"))
@@ -63,9 +75,7 @@ def html_elements(html: Column) -> Column:
         lambda p, i: F.struct(
             i.cast("string").alias("id"),
             F.when(p.startswith("h"), "title").otherwise("text").alias("type"),
-            decode_entities(
-                F.regexp_replace(F.substr(p, F.lit(2)), f"^[{SPACE}]+|[{SPACE}]+$", "")
-            ).alias("content"),
+            decode_entities(strip(F.substr(p, F.lit(2)))).alias("content"),
         ),
     )
 

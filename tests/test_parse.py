@@ -1,3 +1,6 @@
+import time
+
+import pytest
 from pyspark.sql import functions as F
 
 from docpipe import schemas
@@ -34,6 +37,32 @@ def test_no_elements(spark):
     assert one(spark, None, parse.html_elements(F.col("html"))) is None
 
 
+LONG = 30_000
+
+
+@pytest.mark.parametrize(
+    ("page", "sizes"),
+    [
+        ("<p>a" + "<!-- " * LONG, [1]),
+        ("<p>a" + "<script " * LONG + "<p>b", [1]),
+        ("<p>a<nav>n</nav>" + "<nav " * LONG + "<footer>f</footer><p>b", [5 * LONG, 1]),
+        ("<p>a" + "< " * LONG + "<p>b", [2 * LONG, 1]),
+        ("<p>" + "x\n \n" * LONG + "y", [4 * LONG + 1]),
+        ("<p>x" + " " * LONG * 10 + "y" + "<br" * LONG, [2 + 13 * LONG]),
+        ('<p>a' + '<div class="ad">' * LONG, [1]),
+        ("<title>" * LONG + "<p>b", [1]),
+        ('<p>a<script>var t="</p>";</script>b<head>no</head>', [2]),
+    ],
+)
+def test_long_broken_pages_take_linear_time(spark, page, sizes):
+    row = metadata.extract(spark.createDataFrame([(page,)], "html string")).select(
+        F.transform(parse.html_elements(F.col("html")), lambda e: F.length(e["content"])), "links"
+    )
+    start = time.monotonic()
+    assert row.first()[0] == sizes
+    assert time.monotonic() - start < 20
+
+
 def test_mark_in_page_is_harmless(spark):
     got = one(spark, "<p>a\x02pb</p>", parse.html_elements(F.col("html")))
     assert [e.content for e in got] == ["apb"]

@@ -29,15 +29,17 @@ def entities(text: str) -> str:
 
 
 def _without_noise(page: str) -> str:
-    page = f"regexp_replace({page}, '<!--.*?-->', '', 'gs')"
-    for tag in ("script", "style", "nav", "footer", "head"):
+    page = f"regexp_replace({page}, '<!--.*?(-->|\\z)', '', 'gs')"
+    for tag in ("script", "style"):
+        page = f"regexp_replace({page}, '<{tag}\\b.*?(</{tag}\\s*>|\\z)', '', 'gis')"
+    for tag in ("nav", "footer", "head"):
         page = f"regexp_replace({page}, '<{tag}\\b.*?</{tag}\\s*>', '', 'gis')"
     page = f"""regexp_replace({page}, '<div class="ad">.*?</div>', '', 'gis')"""
-    page = f"regexp_replace({page}, '<h1\\b[^>]*>', chr(2) || 'h', 'gi')"
-    page = f"regexp_replace({page}, '<p\\b[^>]*>', chr(2) || 'p', 'gi')"
+    page = f"regexp_replace({page}, '<h1\\b[^<>]*>', chr(2) || 'h', 'gi')"
+    page = f"regexp_replace({page}, '<p\\b[^<>]*>', chr(2) || 'p', 'gi')"
     page = f"regexp_replace({page}, '</(?:h1|p|div|article|body|html)\\s*>', chr(2) || 'x', 'gi')"
     page = f"regexp_replace({page}, '<br\\s*/?>', chr(10), 'gi')"
-    return f"'x' || regexp_replace({page}, '<[^>]*>', '', 'g')"
+    return f"'x' || regexp_replace({page}, '<[^<>]*>', '', 'g')"
 
 
 ELEMENTS = f"""
@@ -55,7 +57,7 @@ elements AS (
     FROM numbered),
 titles AS (
     SELECT page_id,
-        nullif({clean(entities(r"regexp_extract(html, '<title\b[^>]*>(.*?)</title\s*>', 1, 'is')"))}, '')
+        nullif({clean(entities(r"regexp_extract(html, '<title\b[^<>]*>([^<]*)', 1, 'i')"))}, '')
             AS title
     FROM pages)
 """
