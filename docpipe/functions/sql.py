@@ -19,6 +19,7 @@ def register(spark: SparkSession) -> None:
             r'[{SPACE}]+', ' '))
         """
     )
+    options = ", ".join(f"'{k}', '{v}'" for k, v in schemas.JSON_OPTIONS.items())
     spark.sql(
         f"""
         CREATE OR REPLACE TEMPORARY FUNCTION extract_chunks(parsed_content STRING)
@@ -26,7 +27,8 @@ def register(spark: SparkSession) -> None:
         RETURN
             SELECT pos, coalesce(nullif(e.id, ''), concat('e', pos)), e.content
             FROM (SELECT from_json(
-                parsed_content, '{schemas.PARSED_CONTENT.simpleString()}') AS parsed) AS p,
+                parsed_content, '{schemas.PARSED_CONTENT.simpleString()}', map({options})
+                ) AS parsed) AS p,
                 LATERAL posexplode(p.parsed.document.elements) AS t(pos, e)
             WHERE e.type = 'text' AND e.content RLIKE r'[^{SPACE}]'
         """

@@ -58,6 +58,10 @@ PARSED_CONTENT = T.StructType(
     ]
 )
 
+# Options to read it with: by default a text of over 20 million characters makes the JSON
+# bad, and the document would be lost.
+JSON_OPTIONS = {"maxStringLen": str(2**31 - 1)}
+
 CHUNKS = T.StructType(
     [
         T.StructField("doc_path", T.StringType()),

@@ -107,6 +107,22 @@ def test_without_registry(spark):
     assert tuple(built.first()) == ("/a", "1", "x", "/a_1", None, None, 0)
 
 
+def test_very_long_element_is_whole(spark):
+    # Longer than the 20 million characters that a JSON text may have by default.
+    words = F.repeat(F.lit("word "), 5_000_000)
+    head, tail = doc(el("CONTENT")).split("CONTENT")
+    docs = spark.range(1).select(
+        F.lit("/a").alias("path"),
+        F.concat(F.lit(head), words, F.lit(tail)).alias("parsed_content"),
+    )
+    assert chunks.build(docs).select(F.length("text")).first()[0] == 24_999_999
+    sql.register(spark)
+    rows = spark.sql(
+        "SELECT length(content) FROM {docs}, LATERAL extract_chunks(parsed_content)", docs=docs
+    )
+    assert rows.first()[0] == 25_000_000
+
+
 def test_two_files_of_one_path_do_not_double_chunks(spark):
     registry = source(
         spark,
