@@ -5,7 +5,7 @@ import os
 import duckdb
 import pytest
 
-import __spark_entry__ as entry
+from workload import oracle, queries
 
 SF_DIR = "/root/testdata/sf0.001"
 TABLES = ("documents", "pages", "conversations", "embeddings", "labels")
@@ -22,13 +22,13 @@ def duck():
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(queries.all_queries()) == set(oracle.all_oracles())
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(queries.all_queries()))
 def test_query_equals_sql(spark, duck, name):
-    got = entry.queries()[name](spark, SF_DIR)
-    want = duck.sql(entry.oracle_sql()[name])
+    got = queries.all_queries()[name](spark, SF_DIR)
+    want = duck.sql(oracle.all_oracles()[name])
     assert sorted(got.columns) == sorted(want.columns)
     order = [want.columns.index(c) for c in got.columns]
     rows = sorted((tuple(r) for r in got.collect()), key=repr)
