@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from docpipe.shared import written
+
 #: Bytes of text that one NumPy step handles, so that its arrays stay small whatever the batch holds.
 STEP_BYTES = 1 << 20
 
@@ -163,3 +165,20 @@ class Rolling:
         if n <= 0:
             return np.empty(0, np.uint64)
         return mixed(((self.sums[size:] - self.sums[:n]) * self.inverses[:n]) ^ self.seed)
+
+
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def kept(df: DataFrame, name: str) -> DataFrame:
+    """The rows as files below the shared root; shuffle files of the work go when it is done.
+
+    Lineage ends here: what follows reads files that survive lost executors.
+    """
+    conf = df.sparkSession.conf
+    before = conf.get(CLEANUP, "false")
+    conf.set(CLEANUP, "true")
+    try:
+        return written(df, name)
+    finally:
+        conf.set(CLEANUP, before)

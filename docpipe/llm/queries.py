@@ -2,7 +2,7 @@
 
 from collections.abc import Callable
 
-from docpipe.llm import quality, secrets, substrings, tokens, toxicity, url_filter
+from docpipe.llm import parity_join, quality, secrets, substrings, tokens, toxicity, url_filter
 
 
 def queries() -> dict[str, Callable]:
@@ -10,6 +10,7 @@ def queries() -> dict[str, Callable]:
         "op1_url_filter": url_filter.query,
         "op2_quality": quality.query,
         "op3_toxicity": toxicity.query,
+        "op4_parity_join": parity_join.query,
         "op8_token_counts": tokens.query,
         "op9_substrings": substrings.query,
         "op10_secrets": secrets.query,

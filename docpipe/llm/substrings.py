@@ -18,8 +18,17 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from docpipe.llm.common import STEP_BYTES, Rolling, attach, emit, steps, table, text_bytes, text_of
-from docpipe.shared import written
+from docpipe.llm.common import (
+    STEP_BYTES,
+    Rolling,
+    attach,
+    emit,
+    kept,
+    steps,
+    table,
+    text_bytes,
+    text_of,
+)
 
 LENGTH = 200
 #: Bytes that a trigger's hash covers. More tell more, and make more phrases.
@@ -168,14 +177,14 @@ def repeated(docs: DataFrame, length: int = LENGTH, trigger: int = TRIGGER) -> D
     `docs` has `text` without nulls. Texts are told apart by key; each row of `docs` counts as a
     document, so a text that is there twice repeats all its windows.
     """
-    found = written(parse(docs, length, trigger), "phrases")
+    found = kept(parse(docs, length, trigger), "phrases")
     twice = found.groupBy("g").agg(F.count("*").alias("times")).where("times > 1").select("g")
     # copies of a text have the same rows; they are counted before anything is joined by phrase
     places = ["ka", "kb", "g", "s", "at", "n"]
     hits = found.join(twice, "g").groupBy(*places).agg(F.count("*").alias("times"))
-    hits = written(hits, "repeated-phrases")
+    hits = kept(hits, "repeated-phrases")
     kinds = hits.groupBy("g", "s").agg(F.sum("times").alias("times"), F.min("ka").alias("least"))
-    kinds = written(kinds, "phrase-kinds")
+    kinds = kept(kinds, "phrase-kinds")
     whole = hits.join(kinds.where("times > 1").select("g", "s"), ["g", "s"]).select(*KEY, "at", "n")
     # one trigger, different phrases: the windows of one text that has each phrase
     mixed = kinds.groupBy("g").agg(F.count("*").alias("kinds")).where("kinds > 1").select("g")
@@ -183,7 +192,7 @@ def repeated(docs: DataFrame, length: int = LENGTH, trigger: int = TRIGGER) -> D
     chosen = kinds.join(mixed, "g").select("g", "s", F.col("least").alias("ka"), alone)
     chosen = hits.drop("times").join(chosen, ["g", "s", "ka"])
     parts = chosen.groupBy(*KEY).agg(F.collect_list(F.struct("g", "s", "at", "n", "alone")).alias("parts"))
-    windows = written(_windows(docs, parts, length), "windows")
+    windows = kept(_windows(docs, parts, length), "windows")
     # a phrase has no window twice, so a window is elsewhere too if two phrases have it
     shared = windows.groupBy("g", "h").agg(F.min("s").alias("a"), F.max("s").alias("b"))
     shared = shared.where("a <> b").select("g", "h")
@@ -231,19 +240,19 @@ def remove_repeated(
 
     def compute():
         def step(batch: pa.RecordBatch) -> list:
-            spans, kept = [], []
+            spans, rest = [], []
             for content, found in zip(batch.column(0), batch.column(1), strict=True):
                 data = content.as_py().encode()
                 if not found.is_valid:
                     spans.append([])
-                    kept.append(data)
+                    rest.append(data)
                     continue
                 at, n = (found.values.field(k).to_numpy(zero_copy_only=False) for k in ("at", "n"))
                 begin, end = merged(at, n, length)
                 spans.append([{"start": int(a), "end": int(b)} for a, b in zip(begin, end, strict=True)])
                 edges = zip([0, *end], [*begin, len(data)], strict=True)
-                kept.append(b"".join(data[a:b] for a, b in edges))
-            return [pa.array(spans, _SPAN_ARROW), pa.array(kept, pa.binary())]
+                rest.append(b"".join(data[a:b] for a, b in edges))
+            return [pa.array(spans, _SPAN_ARROW), pa.array(rest, pa.binary())]
 
         return step
 
