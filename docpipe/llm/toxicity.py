@@ -14,7 +14,7 @@ from docpipe.llm.common import attach, table, text_of
 #: Weights of the classifier; the hash of a word, or of its beginning, names one.
 SIZE = 1 << 18
 #: The classifier is fitted on about this many confirmed and unlabelled documents at most.
-MOST_POSITIVE, MOST_UNLABELLED = 4_000, 16_000
+MOST_POSITIVE, MOST_UNLABELLED = 3_000, 9_000
 _MARKS = b".,;:!?\"'()[]*#%&$|<>-"
 
 
@@ -60,8 +60,13 @@ class Model:
 def telling(positive: list[np.ndarray], unlabelled: list[np.ndarray], least: float) -> np.ndarray:
     """The weights whose words are `least` standard errors more or less usual among the positives."""
     n, m = len(positive), len(unlabelled)
-    of_p = np.bincount(np.concatenate(positive), minlength=SIZE) / n
-    of_u = np.bincount(np.concatenate(unlabelled), minlength=SIZE) / m
+    shares = []
+    for rows in (positive, unlabelled):
+        seen = np.zeros(SIZE)
+        for numbers in rows:
+            seen[numbers] += 1
+        shares.append(seen / len(rows))
+    of_p, of_u = shares
     pooled = (n * of_p + m * of_u + 1) / (n + m + 2)
     return np.abs(of_p - of_u) > least * np.sqrt(pooled * (1 - pooled) * (1 / n + 1 / m))
 
@@ -88,11 +93,13 @@ def fit(
         return Model(weights, logit)
     known = np.flatnonzero(telling(positive, unlabelled, least))
 
+    place = np.full(SIZE, -1, np.int32)
+    place[known] = np.arange(len(known))
+
     def rows(found: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-        owner = np.repeat(np.arange(len(found)), [len(r) for r in found])
-        place = np.searchsorted(known, numbers := np.concatenate(found))
-        hit = np.isin(numbers, known)
-        return owner[hit], place[hit]
+        places = [(p := place[numbers])[p >= 0] for numbers in found]
+        owner = np.repeat(np.arange(len(found)), [len(p) for p in places])
+        return owner, np.concatenate(places)
 
     def sigmoid(z: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
@@ -144,8 +151,9 @@ def _numbers(rows: DataFrame) -> list[np.ndarray]:
         return step
 
     fields = [T.StructField("numbers", T.BinaryType())]
-    found = attach(rows.select("doc_id", "text"), {"text": text_of()}, fields, compute)
-    return [np.frombuffer(r[0], np.int32) for r in found.select("numbers", "doc_id").sort("doc_id", "numbers").collect()]
+    found = attach(rows.select("doc_id", "text"), {"text": text_of()}, fields, compute).toArrow()
+    pairs = zip(found["doc_id"].to_pylist(), found["numbers"].to_pylist(), strict=True)
+    return [np.frombuffer(packed, np.int32) for _, packed in sorted(pairs)]
 
 
 def learn(docs: DataFrame, labels: DataFrame) -> Model:
