@@ -2,7 +2,7 @@
 
 from collections.abc import Callable
 
-from docpipe.llm import parity_join, quality, secrets, substrings, tokens, toxicity, url_filter
+from docpipe.llm import chat_trees, parity_join, quality, secrets, substrings, tokens, toxicity, url_filter
 
 
 def queries() -> dict[str, Callable]:
@@ -11,6 +11,7 @@ def queries() -> dict[str, Callable]:
         "op2_quality": quality.query,
         "op3_toxicity": toxicity.query,
         "op4_parity_join": parity_join.query,
+        "op5_chat_trees": chat_trees.query,
         "op8_token_counts": tokens.query,
         "op9_substrings": substrings.query,
         "op10_secrets": secrets.query,
@@ -18,4 +19,4 @@ def queries() -> dict[str, Callable]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_url_filter": url_filter.oracle()}
+    return {"op1_url_filter": url_filter.oracle(), "op5_chat_trees": chat_trees.oracle()}
