@@ -2,7 +2,18 @@
 
 from collections.abc import Callable
 
-from docpipe.llm import chat_trees, parity_join, quality, secrets, substrings, tokens, toxicity, url_filter
+from docpipe.llm import (
+    chat_trees,
+    decontaminate,
+    mixing,
+    parity_join,
+    quality,
+    secrets,
+    substrings,
+    tokens,
+    toxicity,
+    url_filter,
+)
 
 
 def queries() -> dict[str, Callable]:
@@ -12,6 +23,8 @@ def queries() -> dict[str, Callable]:
         "op3_toxicity": toxicity.query,
         "op4_parity_join": parity_join.query,
         "op5_chat_trees": chat_trees.query,
+        "op6_decontaminate": decontaminate.query,
+        "op7_mixing": mixing.query,
         "op8_token_counts": tokens.query,
         "op9_substrings": substrings.query,
         "op10_secrets": secrets.query,
