@@ -183,15 +183,18 @@ def _with_block(docs: DataFrame, items: list[tuple[int, str]], name: str) -> Dat
     return attach(docs, {"text": text_of()}, [T.StructField(name, LEAKS)], compute)
 
 
-def find_leaks(docs: DataFrame, benchmark: DataFrame, block: int = BLOCK) -> DataFrame:
-    """`docs` with `leaks`: for each benchmark item found its best window and similarity.
+def find_leaks(
+    docs: DataFrame, benchmark: DataFrame, block: int = BLOCK, name: str = "leaks"
+) -> DataFrame:
+    """`docs` with `leaks`, or another `name`: for each benchmark item found its best window and similarity.
 
     Words are `\\w+` in lower case; shingles have five words, and a shorter item is one shingle. An
     item is found if a window of its number of words has a fingerprint within RADIUS bits and a
     weighted Jaccard similarity of LEAST or more. Ties go to the first window. Texts are read
     whole; null texts and items, and those without words, match nothing; nor do items with null
     ids. An item that is there twice is found twice. Items are broadcast in blocks of about `block`
-    rows, chosen by hash, each with a pass of its own. A column `leaks` of `docs` is replaced;
+    rows, chosen by hash, each with a pass of its own. A column of `docs` with that
+    name is replaced;
     an empty table stays empty, and an empty benchmark finds nothing.
     """
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), text_of().alias("text"))
@@ -199,17 +202,17 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, block: int = BLOCK) -> Dat
     blocks = max(1, -(-items.count() // block))
     own = F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks))
     names = [f"__leaks_{k}" for k in range(blocks)]
-    for k, name in enumerate(names):
+    for k, part in enumerate(names):
         rows = items.where(own == k).collect() if blocks > 1 else items.collect()
-        docs = _with_block(docs, sorted((r["item_id"], r["text"]) for r in rows), name)
-    kept = [c for c in docs.columns if c not in names and c.lower() != "leaks"]
-    return docs.select(*[F.col(f"`{c}`") for c in kept], F.array_sort(F.concat(*names)).alias("leaks"))
+        docs = _with_block(docs, sorted((r["item_id"], r["text"]) for r in rows), part)
+    kept = [c for c in docs.columns if c not in names and c.lower() != name.lower()]
+    return docs.select(*[F.col(f"`{c}`") for c in kept], F.array_sort(F.concat(*names)).alias(name))
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents in which no benchmark item is found, with the columns they had."""
-    found = find_leaks(docs.select("*", F.lit(None).alias("__given")), benchmark)
-    return found.where(F.size("leaks") == 0).select(*[F.col(f"`{c}`") for c in docs.columns if c.lower() != "leaks"])
+    found = find_leaks(docs, benchmark, name="__leaks")
+    return found.where(F.size("__leaks") == 0).drop("__leaks")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

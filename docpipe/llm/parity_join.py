@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from docpipe.llm.common import (
+    WORD,
     WordHashes,
     attach,
     emit,
@@ -179,16 +180,15 @@ def _many(rows: DataFrame) -> DataFrame:
     return rows.join(ends.where("low <> high").select("key", "low", "k"), "key")
 
 
-def similar_groups(docs: DataFrame, size: int = 3, percent: int = 90) -> DataFrame:
-    """For each row of `docs`: `doc_id`, `n_shingles` and `component_id`.
+def grouped(docs: DataFrame, size: int, percent: int) -> DataFrame:
+    """For each row of `docs`: `doc_id`, text's digest `ka`, `kb`, `n_shingles` and group `root`.
 
     Two documents link if the sets of their distinct shingles of `size` words have a Jaccard
     similarity of `percent` or more; a text with fewer words is one shingle, one without words
-    links with nothing. `component_id` is the least doc_id that links reach, the own one included.
-    Words are runs without blanks of the whole text, A-Z as a-z; null is empty. Rows with one
-    text are one node; each row comes back once, repeated ones too. A null doc_id takes part but is
-    never the least unless all are null. Other columns of `docs` are not looked at; an empty table
-    stays empty.
+    links with nothing and has no root. What links reach has one root. Words are runs without
+    blanks of the whole text, A-Z as a-z; null is empty. Rows with one text are one node; each row
+    comes back once, repeated ones too. A null doc_id takes part but is never the least unless all
+    are null. Other columns of `docs` are not looked at; an empty table stays empty.
 
     Pairs are never listed whole: of the texts with a common key the first round compares all
     with one, and the next rounds only those that are not yet in one component.
@@ -251,15 +251,41 @@ def similar_groups(docs: DataFrame, size: int = 3, percent: int = 90) -> DataFra
                 continue
             links = links.unionByName(roots.select(F.col("node").alias("u"), F.col("root").alias("v")))
         roots = components(links)
-    least = rows.groupBy("ka", "kb").agg(F.min("doc_id").alias("least"))
-    own = least.withColumn("node", node).join(roots, "node", "left")
-    own = own.withColumn("root", F.coalesce("root", "node"))
-    by_root = own.groupBy("root").agg(F.min("least").alias("component_id"))
-    of_text = own.join(by_root, "root").select("ka", "kb", "component_id")
-    linked = rows.where("n > 0").select("doc_id", "ka", "kb", "n").join(of_text, ["ka", "kb"])
-    linked = linked.select("doc_id", F.col("n").alias("n_shingles"), "component_id")
-    alone = rows.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
-    return linked.unionByName(alone)
+    rows = rows.select("doc_id", "ka", "kb", F.col("n").alias("n_shingles"))
+    grouped = rows.withColumn("node", node).join(roots, "node", "left")
+    return grouped.withColumn("root", F.when(F.col("n_shingles") > 0, F.coalesce("root", "node"))).drop("node")
+
+
+def similar_groups(docs: DataFrame, size: int = 3, percent: int = 90) -> DataFrame:
+    """For each row of `docs`: `doc_id`, `n_shingles` and `component_id`, the least doc_id that
+    links reach, the own one included; see `grouped`. Without words it is the own id."""
+    rows = grouped(docs, size, percent)
+    least = rows.where("n_shingles > 0").groupBy("root").agg(F.min("doc_id").alias("component_id"))
+    linked = rows.where("n_shingles > 0").join(least, "root").select("doc_id", "n_shingles", "component_id")
+    alone = rows.where("n_shingles = 0")
+    return linked.unionByName(alone.select("doc_id", "n_shingles", F.col("doc_id").alias("component_id")))
+
+
+def one_of_each(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
+    """`docs` with one row of each group of `grouped`: that of the least doc_id, null last.
+
+    Of equal ids the text with the least digest stays, and of rows with equal id and text any one.
+    Texts without words are groups of their own and all stay.
+    """
+    text = text_of()
+    rows = grouped(docs, size, percent).where("n_shingles > 0")
+    # sizes and ids alone are grouped; texts are looked up once, for the rows that stay
+    copies = rows.groupBy("root", "doc_id", "ka", "kb").agg(F.count("*").alias("__copies"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "ka", "kb", "__copies")).alias("x")
+    stay = copies.groupBy("root").agg(first).select(
+        F.col("x.doc_id").alias("__id"), F.col("x.ka").alias("__ka"), F.col("x.kb").alias("__kb"), "x.__copies"
+    )
+    ka, kb = digest(text)
+    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (ka == F.col("__ka")) & (kb == F.col("__kb"))
+    found = docs.where(text.rlike(WORD)).join(stay, same)
+    once = found.where("__copies = 1").select(*docs.columns)
+    often = found.where("__copies > 1").dropDuplicates(["__id", "__ka", "__kb"]).select(*docs.columns)
+    return once.unionByName(often).unionByName(docs.where(~text.rlike(WORD)))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

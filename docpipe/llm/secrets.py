@@ -168,14 +168,16 @@ _SPANS_ARROW = pa.list_(
 )
 
 
-def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text") -> DataFrame:
-    """`docs` with `spans`: kind, start and end (code points, end exclusive), by start, then rule.
+def scan(
+    docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text", name: str = "spans"
+) -> DataFrame:
+    """`docs` with `spans`, or another `name`: kind, start and end (code points, end exclusive), by start, then rule.
 
     Each rule's regular expression gives a Boolean query over trigrams that a match can't do
     without. Every block of about a megabyte of texts is indexed for the trigrams of all queries;
     a rule then reads the texts that its query leaves, and all texts if it has no such trigram.
     Texts are read whole; null is empty and has no spans. Spans of different rules may overlap.
-    Repeated rows each keep theirs; a column `spans` of `docs` is replaced; empty tables stay empty.
+    Repeated rows each keep theirs; a column of `docs` with that name is replaced; empty tables stay empty.
     """
     queries = [trigram_query(r.pattern) for r in rules]
 
@@ -204,7 +206,7 @@ def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text") -
 
         return step
 
-    return attach(docs, {"text": text_of(text)}, [T.StructField("spans", SPANS)], compute)
+    return attach(docs, {"text": text_of(text)}, [T.StructField(name, SPANS)], compute)
 
 
 def redact(docs: DataFrame, rules: tuple[Rule, ...] = RULES, mark: str = "[SECRET]") -> DataFrame:
@@ -213,7 +215,7 @@ def redact(docs: DataFrame, rules: tuple[Rule, ...] = RULES, mark: str = "[SECRE
     `n_chars`, where there is such a column, is the new length of texts that changed. Other texts,
     null ones too, and all other columns stay as they are.
     """
-    found = scan(docs.select("*", F.col("text").alias("__text")), rules, "__text")
+    found = scan(docs.withColumn("__text", F.col("text").cast("string")), rules, "__text", "__spans")
     # pieces of text between spans: `at` is where the last span so far ended (1 based)
     start = F.struct(F.lit("").alias("out"), F.lit(0).alias("at"))
     whole = F.col("__text")
@@ -229,7 +231,7 @@ def redact(docs: DataFrame, rules: tuple[Rule, ...] = RULES, mark: str = "[SECRE
     def end(state):
         return F.concat(state["out"], F.substring(whole, state["at"] + 1, F.length(whole)))
 
-    cleaned = F.when(F.size("spans") > 0, F.aggregate("spans", start, add, end)).otherwise(whole)
+    cleaned = F.when(F.size("__spans") > 0, F.aggregate("__spans", start, add, end)).otherwise(whole)
     columns = []
     for name in docs.columns:
         if name.lower() == "text":
@@ -237,7 +239,7 @@ def redact(docs: DataFrame, rules: tuple[Rule, ...] = RULES, mark: str = "[SECRE
         elif name.lower() == "n_chars":
             kind = docs.schema[name].dataType
             length = F.length(cleaned).cast(kind)
-            columns.append(F.when(F.size("spans") > 0, length).otherwise(F.col(name)).alias(name))
+            columns.append(F.when(F.size("__spans") > 0, length).otherwise(F.col(name)).alias(name))
         else:
             columns.append(F.col(f"`{name}`"))
     return found.select(*columns)

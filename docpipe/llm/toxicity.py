@@ -179,11 +179,11 @@ def learn(docs: DataFrame, labels: DataFrame) -> Model:
     return fit(positive, unlabelled, n_toxic / n_labelled)
 
 
-def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """`docs` with `score`, from the whole text alone: 0 to 1, higher for toxic. Null is empty.
+def score(docs: DataFrame, model: Model, text: str = "text", name: str = "score") -> DataFrame:
+    """`docs` with `score`, or another `name`, from the whole text alone: 0 to 1, higher for toxic. Null is empty.
 
     An empty text has the score of the model's bias. Repeated rows are scored each; a column
-    `score` of `docs` is replaced; an empty table stays empty. The model has SIZE weights.
+    of `docs` with that name is replaced; an empty table stays empty. The model has SIZE weights.
     """
 
     def compute():
@@ -195,7 +195,7 @@ def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
 
         return step
 
-    return attach(docs, {"text": text_of(text)}, [T.StructField("score", T.DoubleType())], compute)
+    return attach(docs, {"text": text_of(text)}, [T.StructField(name, T.DoubleType())], compute)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
