@@ -41,3 +41,15 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = new_dir(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder below the shared root that nothing reads any more."""
+    if not path.startswith(f"{shared_root(spark)}/"):
+        raise ValueError(f"{path} is not below the shared root")
+    jvm = spark._jvm
+    if jvm is None:  # a remote session: the folder stays for the cluster's own cleaning
+        return
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    conf = spark._jsparkSession.sessionState().newHadoopConf()
+    target.getFileSystem(conf).delete(target, True)
