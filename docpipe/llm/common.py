@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from docpipe.shared import written
+from docpipe.shared import new_dir, remove
 
 #: Bytes of text that one NumPy step handles, so that its arrays stay small whatever the batch holds.
 STEP_BYTES = 1 << 20
@@ -28,6 +28,14 @@ def text_of(name: str = "text") -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """`name`, or with underscores after it, so that `df` has no such column."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def attach(
     df: DataFrame,
     inputs: dict[str, Column],
@@ -55,7 +63,7 @@ def attach(
             )
 
     quoted = [F.col(f"`{f.name.replace('`', '``')}`") for f in kept]
-    prepared = df.select(*quoted, *[c.alias(f"__in_{k}") for k, c in inputs.items()])
+    prepared = df.select(*quoted, *[c.alias(fresh(df, f"in_{k}")) for k, c in inputs.items()])
     return prepared.mapInArrow(run, schema)
 
 
@@ -179,6 +187,16 @@ def kept(df: DataFrame, name: str) -> DataFrame:
     before = conf.get(CLEANUP, "false")
     conf.set(CLEANUP, "true")
     try:
-        return written(df, name)
+        path = new_dir(df.sparkSession, name)
+        df.write.parquet(path)
     finally:
         conf.set(CLEANUP, before)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.kept_at = path
+    return out
+
+
+def dropped(*tables: DataFrame) -> None:
+    """Remove the files of tables that `kept` wrote, once all that reads them is kept itself."""
+    for df in tables:
+        remove(df.sparkSession, df.kept_at)

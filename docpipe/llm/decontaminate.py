@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from docpipe.llm.common import WordHashes, attach, shingle_hashes, table, text_of
+from docpipe.llm.common import WordHashes, attach, fresh, shingle_hashes, table, text_of
 
 SHINGLE = 5
 LEAST = 0.8
@@ -201,7 +201,7 @@ def find_leaks(
     items = items.where(F.col("item_id").isNotNull() & F.col("text").rlike(r"\w"))
     blocks = max(1, -(-items.count() // block))
     own = F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks))
-    names = [f"__leaks_{k}" for k in range(blocks)]
+    names = [fresh(docs, f"part{k}") for k in range(blocks)]
     for k, part in enumerate(names):
         rows = items.where(own == k).collect() if blocks > 1 else items.collect()
         docs = _with_block(docs, sorted((r["item_id"], r["text"]) for r in rows), part)
@@ -211,8 +211,8 @@ def find_leaks(
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents in which no benchmark item is found, with the columns they had."""
-    found = find_leaks(docs, benchmark, name="__leaks")
-    return found.where(F.size("__leaks") == 0).drop("__leaks")
+    name = fresh(docs, "found")
+    return find_leaks(docs, benchmark, name=name).where(F.size(name) == 0).drop(name)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

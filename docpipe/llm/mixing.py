@@ -10,7 +10,7 @@ documents of one cell of the grid have one rate, and the steps run over cells.
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docpipe.llm.common import WORD, kept, table, text_of
+from docpipe.llm.common import WORD, fresh, kept, table, text_of
 
 #: What is counted in a text, as patterns; all other characters are counted together.
 FEATURES = (
@@ -33,13 +33,13 @@ STEPS = 60
 TARGETS = {"en": 0.40, "de": 0.20, "es": 0.15, "fr": 0.20, "poor": 0.05}
 
 
-def counted(docs: DataFrame, text: str = "text") -> DataFrame:
+def counted(docs: DataFrame, text: str = "text", name: str = "counts") -> DataFrame:
     """`docs` with `n_tokens` (words) and `counts`: of each feature, then of all other characters."""
     content = text_of(text)
     hits = [F.regexp_count(content, F.lit(p)).cast("double") for p in FEATURES]
     rest = F.greatest(F.lit(0.0), F.length(content) - sum(hits[1:], hits[0]))
     return docs.withColumns(
-        {"n_tokens": F.regexp_count(content, F.lit(WORD)).cast("long"), "counts": F.array(*hits, rest)}
+        {"n_tokens": F.regexp_count(content, F.lit(WORD)).cast("long"), name: F.array(*hits, rest)}
     )
 
 
@@ -137,30 +137,31 @@ def mix(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], steps:
     Columns with the new names are replaced; empty tables stay empty. At most
     (GRID + 1) ** domains cells are possible; they are joined as a table, not as literals.
     """
-    features = kept(counted(docs), "mixing-features")
+    counts, cell = fresh(docs, "counts"), fresh(docs, "cell")
+    features = kept(counted(docs, name=counts), "mixing-features")
     model = classifier(counted(labelled.select("text", "domain")), list(targets))
     if not model:
-        return features.drop("counts").withColumns(
+        return features.drop(counts).withColumns(
             {"domain": F.lit(None).cast("string"), "rate": F.lit(1.0), "copies": F.lit(1)}
         )
-    celled = features.withColumn("__cell", posterior(model, F.col("counts"))).drop("counts")
-    cells = celled.groupBy(F.col("__cell").alias("cell")).agg(F.sum("n_tokens").alias("n_tokens"))
+    celled = features.withColumn(cell, posterior(model, F.col(counts))).drop(counts)
+    cells = celled.groupBy(F.col(cell).alias("cell")).agg(F.sum("n_tokens").alias("n_tokens"))
     cells = kept(cells, "mixing-cells")
     wanted = [max(0.0, targets[name]) for name, _, _ in model]
     wanted = [w / sum(wanted) if sum(wanted) else 1 / len(wanted) for w in wanted]
     taken = fit(cells, wanted, steps)
     rated = cells.select(
-        F.col("cell").alias("__cell"), F.round(_rate(taken, _shares(F.col("cell")))["now"], 6).alias("rate")
+        F.col("cell").alias(cell), F.round(_rate(taken, _shares(F.col("cell")))["now"], 6).alias("rate")
     )
     names = F.array(*[F.lit(name) for name, _, _ in model])
-    place = F.array_position("__cell", F.array_max("__cell")).cast("int")
+    place = F.array_position(cell, F.array_max(cell)).cast("int")
     # a cell may hold most documents; its rate is one short row
-    joined = celled.drop("rate").join(rated, "__cell")
+    joined = celled.drop("rate").join(rated, cell)
     uniform = F.pmod(F.xxhash64(text_of(), F.lit("copies")), F.lit(1 << 30)) / float(1 << 30)
     up = F.when(uniform < F.col("rate") - F.floor("rate"), 1).otherwise(0)
     return joined.withColumns(
         {"domain": F.element_at(names, place), "copies": (F.floor("rate") + up).cast("int")}
-    ).drop("__cell")
+    ).drop(cell)
 
 
 def labelled_domains(docs: DataFrame, labels: DataFrame) -> DataFrame:

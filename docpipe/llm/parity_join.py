@@ -19,6 +19,7 @@ from docpipe.llm.common import (
     WordHashes,
     attach,
     emit,
+    fresh,
     kept,
     mixed,
     shingle_hashes,
@@ -277,14 +278,15 @@ def one_of_each(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     # sizes and ids alone are grouped; texts are looked up once, for the rows that stay
     copies = rows.groupBy("root", "doc_id", "ka", "kb").agg(F.count("*").alias("__copies"))
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "ka", "kb", "__copies")).alias("x")
-    stay = copies.groupBy("root").agg(first).select(
-        F.col("x.doc_id").alias("__id"), F.col("x.ka").alias("__ka"), F.col("x.kb").alias("__kb"), "x.__copies"
-    )
+    names = [fresh(docs, n) for n in ("stays", "stays_ka", "stays_kb", "copies")]
+    fields = ("doc_id", "ka", "kb", "__copies")
+    stay = copies.groupBy("root").agg(first)
+    stay = stay.select(*[F.col(f"x.{f}").alias(n) for f, n in zip(fields, names, strict=True)])
     ka, kb = digest(text)
-    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (ka == F.col("__ka")) & (kb == F.col("__kb"))
+    same = F.col("doc_id").eqNullSafe(F.col(names[0])) & (ka == F.col(names[1])) & (kb == F.col(names[2]))
     found = docs.where(text.rlike(WORD)).join(stay, same)
-    once = found.where("__copies = 1").select(*docs.columns)
-    often = found.where("__copies > 1").dropDuplicates(["__id", "__ka", "__kb"]).select(*docs.columns)
+    once = found.where(F.col(names[3]) == 1).select(*docs.columns)
+    often = found.where(F.col(names[3]) > 1).dropDuplicates(names[:3]).select(*docs.columns)
     return once.unionByName(often).unionByName(docs.where(~text.rlike(WORD)))
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from docpipe.llm.common import attach, steps, table, text_bytes, text_of
+from docpipe.llm.common import attach, fresh, steps, table, text_bytes, text_of
 
 #: A literal with more spellings than this is cut in two.
 MOST_SPELLINGS = 64
@@ -215,10 +215,11 @@ def redact(docs: DataFrame, rules: tuple[Rule, ...] = RULES, mark: str = "[SECRE
     `n_chars`, where there is such a column, is the new length of texts that changed. Other texts,
     null ones too, and all other columns stay as they are.
     """
-    found = scan(docs.withColumn("__text", F.col("text").cast("string")), rules, "__text", "__spans")
+    content, spans = fresh(docs, "content"), fresh(docs, "found")
+    found = scan(docs.withColumn(content, F.col("text").cast("string")), rules, content, spans)
     # pieces of text between spans: `at` is where the last span so far ended (1 based)
     start = F.struct(F.lit("").alias("out"), F.lit(0).alias("at"))
-    whole = F.col("__text")
+    whole = F.col(content)
 
     def add(state, span):
         joined = span["start"] < state["at"]
@@ -231,7 +232,7 @@ def redact(docs: DataFrame, rules: tuple[Rule, ...] = RULES, mark: str = "[SECRE
     def end(state):
         return F.concat(state["out"], F.substring(whole, state["at"] + 1, F.length(whole)))
 
-    cleaned = F.when(F.size("__spans") > 0, F.aggregate("__spans", start, add, end)).otherwise(whole)
+    cleaned = F.when(F.size(spans) > 0, F.aggregate(spans, start, add, end)).otherwise(whole)
     columns = []
     for name in docs.columns:
         if name.lower() == "text":
@@ -239,7 +240,7 @@ def redact(docs: DataFrame, rules: tuple[Rule, ...] = RULES, mark: str = "[SECRE
         elif name.lower() == "n_chars":
             kind = docs.schema[name].dataType
             length = F.length(cleaned).cast(kind)
-            columns.append(F.when(F.size("__spans") > 0, length).otherwise(F.col(name)).alias(name))
+            columns.append(F.when(F.size(spans) > 0, length).otherwise(F.col(name)).alias(name))
         else:
             columns.append(F.col(f"`{name}`"))
     return found.select(*columns)

@@ -1,0 +1,76 @@
+import random
+
+import numpy as np
+import pytest
+
+from docpipe.llm import mixing as mx
+
+SCHEMA = "text string, domain string"
+SAMPLES = {"en": "the thing and this other thing with nothing", "de": "ich möchte für die Größe", "es": "mañana está aquí el niño"}
+
+
+def corpus(n=90, seed=1):
+    rng = random.Random(seed)
+    return [" ".join(rng.choices(SAMPLES[k].split(), k=rng.randint(5, 60))) for k in rng.choices(list(SAMPLES), weights=(6, 3, 1), k=n)]
+
+
+def labelled(spark):
+    return spark.createDataFrame([(v * 3, k) for k, v in SAMPLES.items()] + [(None, "en"), ("x", None), ("x", "zz")], SCHEMA)
+
+
+def test_expected_tokens_are_the_targets(spark, make_docs):
+    texts = corpus()
+    targets = {"en": 0.3, "de": 0.3, "es": 0.4, "absent": 0.5}
+    docs = make_docs([*texts, None, "", "the " * 100_000], clash=True)
+    rows = mx.mix(docs, labelled(spark), targets, 300)
+    assert len(set(rows.columns)) == len(rows.columns)
+    rows = rows.collect()
+    assert len(rows) == len(texts) + 3 and all(r.rate >= 0 for r in rows)
+    assert all(abs(r.copies - r.rate) < 1 for r in rows)
+    # the cells again, in NumPy, from the rates alone
+    model = mx.classifier(mx.counted(labelled(spark)), list(targets))
+    assert [m[0] for m in model] == ["de", "en", "es"]
+    cells = mx.counted(docs.select("doc_id", "text")).withColumn("cell", mx.posterior(model, mx.F.col("counts"))).collect()
+    p = {r.doc_id: np.array(r.cell) / sum(r.cell) for r in cells}
+    expected = sum(r.n_tokens * r.rate * p[r.doc_id] for r in rows)
+    total = sum(r.n_tokens for r in rows)
+    assert np.allclose(expected / total, [0.3, 0.3, 0.4], atol=2e-3)
+    assert {r.n_tokens for r in rows if r.doc_id in (90, 91)} == {0}
+
+
+def test_steps_equal_numpy(spark):
+    rng = np.random.default_rng(2)
+    cells = [([int(x) for x in rng.multinomial(20, (0.5, 0.3, 0.2))], int(rng.integers(1, 500))) for _ in range(25)]
+    frame = spark.createDataFrame(cells, "cell array<int>, n_tokens long")
+    targets = [0.1, 0.1, 0.8]
+    steps = mx.fit(frame, targets, 40, 0.0)
+    got = {tuple(r.cell): r.x.now for r in frame.select("cell", mx._rate(steps, mx._shares(mx.F.col("cell"))).alias("x")).collect()}
+    p = np.array([np.array(c) / sum(c) for c, _ in cells])
+    t = np.array([n for _, n in cells], float)
+    now = before = np.ones(len(cells))
+    mass, total = t @ p, t.sum()
+    for k in range(3000):
+        if k == 40:
+            assert np.allclose([got[tuple(c)] for c, _ in cells], now)
+            assert (now == 0).any()
+        ahead = now + k / (k + 3) * (now - before)
+        slope = p @ (((t * ahead) @ p - np.array(targets) * total) / mass)
+        now, before = np.maximum(0, ahead - slope), now
+    # nothing feasible is better: the gradient is 0 where the rate is not, and not negative elsewhere
+    slope = p @ (((t * now) @ p - np.array(targets) * total) / mass)
+    assert np.abs(slope[now > 1e-3]).max() < 0.05 and slope[now == 0].min() > -0.05
+
+
+def test_query(spark, make_docs, sf_dir):
+    docs = make_docs([*corpus(), None], [*range(90), None], langs=["en", "de", None] * 30 + ["fr"])
+    labels = spark.createDataFrame([(k, k % 2, 0) for k in range(40)] + [(None, 0, 0), (5, None, None)], "doc_id long, quality int, toxic int")
+    rows = mx.query(spark, sf_dir(documents=docs, labels=labels)).collect()
+    assert len(rows) == 91 and {r.domain for r in rows} <= {"en", "de", "poor"}
+
+
+@pytest.mark.parametrize("domain", [None, "zz"])
+def test_nothing_labelled(spark, make_docs, domain):
+    label = spark.createDataFrame([("a b", domain)], SCHEMA)
+    rows = mx.mix(make_docs(["a", None, "a"], [1, 1, None]), label, {"en": 1.0}).collect()
+    assert {(r.rate, r.copies, r.domain) for r in rows} == {(1.0, 1, None)}
+    assert mx.mix(make_docs([]), labelled(spark), {"en": 1.0}).collect() == []

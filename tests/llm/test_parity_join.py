@@ -1,0 +1,119 @@
+import random
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from docpipe.llm import parity_join as pj
+from docpipe.llm.common import WordHashes
+from docpipe.llm.components import components
+
+
+def shingles(text, size):
+    words = (text or "").encode().lower().split()
+    if not words:
+        return frozenset()
+    return frozenset(tuple(words[k : k + size]) for k in range(max(1, len(words) - size + 1)))
+
+
+def brute(texts, size, percent):
+    """Group numbers by all pairs."""
+    sets = [shingles(t, size) for t in texts]
+    group = list(range(len(texts)))
+    for a in range(len(texts)):
+        for b in range(a):
+            both, either = len(sets[a] & sets[b]), len(sets[a] | sets[b])
+            if sets[a] and sets[b] and 100 * both >= percent * either and group[a] != group[b]:
+                old, new = max(group[a], group[b]), min(group[a], group[b])
+                group = [new if g == old else g for g in group]
+    return [(len(s), g) for s, g in zip(sets, group, strict=True)]
+
+
+def corpus(seed=1, families=6, copies=14):
+    rng = random.Random(seed)
+    words = [f"w{k}" for k in range(400)]
+    texts = [None, "", " \n", "one", "ONE", "one two", "a b c", "A  b\tc", "a b c d"]
+    for _ in range(families):
+        base = rng.choices(words, k=rng.choice((12, 40, 150, 700)))
+        for _ in range(copies):
+            new = list(base)
+            for _ in range(rng.randint(0, max(1, len(base) // 25))):
+                new[rng.randrange(len(new))] = rng.choice(words)
+            texts.append(" ".join(new[rng.randint(0, 2) :]))
+    texts += [" ".join(rng.choices(words, k=60)) for _ in range(20)]
+    return texts
+
+
+@pytest.mark.parametrize(("size", "percent"), [(3, 90), (5, 80)])
+def test_groups_equal_all_pairs(spark, make_docs, size, percent):
+    texts = corpus()
+    got = {r.doc_id: r for r in pj.similar_groups(make_docs(texts, clash=True), size, percent).collect()}
+    want = brute(texts, size, percent)
+    assert len(got) == len(texts)
+    assert [(got[k].n_shingles, got[k].component_id) for k in range(len(texts))] == want
+    assert len({g for _, g in want}) < len(texts) - 20
+
+
+def test_all_rounds_are_needed(spark, make_docs, monkeypatch):
+    """With one leader a round, links that the first leader lacks are found in later rounds."""
+    monkeypatch.setattr(pj, "LEADERS", (1, 2, float("inf")))
+    texts = corpus(7, families=2, copies=30)
+    got = {r.doc_id: r.component_id for r in pj.similar_groups(make_docs(texts), 3, 90).collect()}
+    assert [got[k] for k in range(len(texts))] == [g for _, g in brute(texts, 3, 90)]
+
+
+def test_query_and_repeated_rows(spark, make_docs, sf_dir):
+    texts = ["a b c d e", "a b c d e", "x y z", "X Y z", "", "q r s t"]
+    folder = sf_dir(documents=make_docs(texts, [5, 3, 9, 9, None, None], clash=True))
+    got = sorted((tuple(r) for r in pj.query(spark, folder).collect()), key=repr)
+    assert got == sorted([(5, 3, 3), (3, 3, 3), (9, 1, 9), (9, 1, 9), (None, 0, None), (None, 2, None)], key=repr)
+    assert pj.similar_groups(make_docs([])).collect() == []
+
+
+def test_one_of_each(spark, make_docs):
+    texts = ["a b c d e", "A b c d e", "a b c d e", None, "", "x y", "x y", "z"]
+    docs = make_docs(texts, [4, 2, 2, 7, None, None, None, 1], clash=True)
+    got = pj.one_of_each(docs, 5, 80)
+    assert got.columns == docs.columns
+    rows = sorted(((r.doc_id, (r.text or "").lower()) for r in got.collect()), key=repr)
+    assert rows == sorted([(2, "a b c d e"), (7, ""), (None, ""), (None, "x y"), (1, "z")], key=repr)
+    assert pj.one_of_each(make_docs([])).collect() == []
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.sets(st.integers(0, 2**64 - 1), min_size=1, max_size=120), st.integers(0, 40), st.integers(0, 2**32), st.sampled_from([80, 90]))
+def test_similar_sets_share_a_block(numbers, changes, seed, percent):
+    rng = random.Random(seed)
+    a = sorted(numbers)
+    b = set(a)
+    for _ in range(changes):
+        if len(b) > 1 and rng.random() < 0.5:
+            b.discard(rng.choice(sorted(b)))
+        else:
+            b.add(rng.getrandbits(64))
+    both, either = len(set(a) & b), len(set(a) | b)
+    bands = pj.Bands(percent)
+    one, other = (np.array(sorted(x), np.uint64) for x in (a, b))
+    if 100 * both >= percent * either:
+        assert set(pj.block_keys(one, bands)) & set(pj.block_keys(other, bands))
+    words = [pj.parities(pj.mixed(x), (pj.mixed(x) % np.uint64(16)).astype(int), 16) for x in (one, other)]
+    assert np.bitwise_count(words[0] ^ words[1]).sum() <= either - both
+
+
+def test_shingle_sets():
+    hashes = WordHashes(most=2)
+    assert len(pj.shingle_set("a b a b a b", 3, hashes)) == 2
+    assert len(pj.shingle_set("A b", 3, hashes)) == 1
+    assert (pj.shingle_set("A b", 3, hashes) == pj.shingle_set(" a\tB", 3, hashes)).all()
+    assert len(pj.shingle_set("a b c", 3, hashes)) == 1
+
+
+def test_components(spark):
+    rng = random.Random(3)
+    links = [(k, k + 1) for k in range(0, 40)] + [(100, k) for k in range(101, 150)] + [(7, 7), (200, 201), (200, 201)]
+    rng.shuffle(links)
+    got = {r.node: r.root for r in components(spark.createDataFrame(links, "u long, v long")).collect()}
+    want = {k: 0 for k in range(41)} | {k: 100 for k in range(100, 150)} | {200: 200, 201: 200}
+    assert got == want
+    assert components(spark.createDataFrame([], "u long, v long")).collect() == []
