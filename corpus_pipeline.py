@@ -1,9 +1,10 @@
 """The corpus pipeline: five stages over the whole documents table, each written and read again."""
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from docpipe.llm import decontaminate, mixing, parity_join, secrets, toxicity
-from docpipe.llm.common import kept, table
+from docpipe.llm.common import fresh, kept, table
 
 #: Near copies share this percentage of their shingles of so many words.
 SHINGLE, PERCENT = 5, 80
@@ -12,8 +13,8 @@ SHINGLE, PERCENT = 5, 80
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that a classifier, learnt from the labels, scores below a half."""
     model = toxicity.learn(docs, table(spark, sf_dir, "labels"))
-    scored = toxicity.score(docs, model, name="__toxicity")
-    return scored.where("__toxicity < 0.5").drop("__toxicity")
+    name = fresh(docs, "score")
+    return toxicity.score(docs, model, name=name).where(F.col(name) < 0.5).drop(name)
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
