@@ -44,6 +44,8 @@ def counts(column: pa.Array, dim: int) -> np.ndarray:
     lengths = np.asarray(column.value_lengths().fill_null(0))
     rows = np.repeat(np.arange(len(column)), lengths)
     values = np.asarray(column.flatten())
+    if len(values) and not 0 <= values.min() <= values.max() < dim:
+        raise ValueError(f"bucket {values.max()} in vectors of {dim} buckets")
     return np.bincount(rows * dim + values, minlength=len(column) * dim).reshape(-1, dim)
 
 
@@ -51,6 +53,9 @@ def _dense(column: pa.Array) -> np.ndarray:
     """Float lists of one length → matrix, with zeros for NULL."""
     flat = np.asarray(column.flatten(), dtype=np.float64)
     there = np.asarray(column.is_valid())
+    lengths = np.unique(np.asarray(column.value_lengths().drop_null()))
+    if len(lengths) > 1:
+        raise ValueError(f"vectors of different lengths: {lengths.tolist()}")
     width = len(flat) // max(1, there.sum())
     matrix = np.zeros((len(column), width))
     matrix[there] = flat.reshape(there.sum(), width)

@@ -1,25 +1,30 @@
 """The table of known documents, and which files it does not know yet."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docpipe.functions.text import norm_path
 from docpipe.operators import tables
 
 
-def _without(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
-    """Rows of `left` whose key is not in `right`; rows without a key never match.
+def unused(df: DataFrame, name: str) -> str:
+    """`name`, or with underscores after it, so that `df` has no such column."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def _without(left: DataFrame, key: Column, known: DataFrame) -> DataFrame:
+    """Rows of `left` whose key is not in the one column of `known`; a NULL key never matches.
 
     A row without a key gets a number of its own to join by, so that many of them are
     spread over the tasks. Repeated keys on the right shrink to one before the shuffle.
     """
     own = F.concat(F.lit("\0"), F.monotonically_increasing_id())
-    known = right.select(F.col(key).alias("known")).distinct()
-    return (
-        left.withColumn("known", F.coalesce(F.col(key), own))
-        .join(known, "known", "left_anti")
-        .drop("known")
-    )
+    name = unused(left, "known")
+    known = known.toDF(name).distinct()
+    return left.withColumn(name, F.coalesce(key, own)).join(known, name, "left_anti").drop(name)
 
 
 def register(new_files: DataFrame, table: str) -> None:
@@ -28,14 +33,13 @@ def register(new_files: DataFrame, table: str) -> None:
 
 
 def pending(source: DataFrame, parsed: DataFrame) -> DataFrame:
-    """Registered documents that are not parsed yet."""
-    done = parsed.select(norm_path(F.col("path")).alias("doc_path"))
-    return _without(source, done, "doc_path")
+    """Registered documents that are not parsed yet. Paths are compared without `dbfs:`."""
+    return _without(source, norm_path(F.col("doc_path")), parsed.select(norm_path(F.col("path"))))
 
 
 def new_files(listing: DataFrame, source: DataFrame) -> DataFrame:
     """Listed files whose id is not registered."""
-    return _without(listing, source.select("source_file_id"), "source_file_id")
+    return _without(listing, F.col("source_file_id"), source.select("source_file_id"))
 
 
 def exists_many(ids: DataFrame, source: DataFrame) -> DataFrame:
@@ -48,6 +52,7 @@ def exists_many(ids: DataFrame, source: DataFrame) -> DataFrame:
 
 
 def one_per_path(source: DataFrame) -> DataFrame:
-    """The latest registration of each path, with the authors as one text."""
+    """The latest registration of each path without `dbfs:`, as (doc_path, title, authors)."""
     latest = F.max(F.struct("updated", "source_file_id", "title", "authors")).alias("r")
-    return source.groupBy("doc_path").agg(latest).select("doc_path", "r.title", "r.authors")
+    path = norm_path(F.col("doc_path")).alias("doc_path")
+    return source.groupBy(path).agg(latest).select("doc_path", "r.title", "r.authors")

@@ -1,5 +1,7 @@
 """Create, append to, replace and empty tables."""
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -62,3 +64,15 @@ def save_bucketed(df: DataFrame, name: str, key: str, buckets: int) -> None:
     finally:
         for setting, value in before.items():
             conf.set(setting, value)
+
+
+def replace_bucketed(
+    df: DataFrame, name: str, key: str, buckets: int, check: Callable[[DataFrame], None]
+) -> None:
+    """As `save_bucketed`, but the old table stays until the new one is written and checked."""
+    spark = df.sparkSession
+    new = f"{name}__new"
+    save_bucketed(df, new, key, buckets)
+    check(spark.table(new))
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.sql(f"ALTER TABLE {new} RENAME TO {name}")

@@ -1,9 +1,11 @@
 """Files as rows."""
 
 import re
+import warnings
 from collections.abc import Iterator
 from itertools import islice
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -41,16 +43,37 @@ def discover(
 
 
 def path_batches(paths: DataFrame, size: int) -> Iterator[list[str]]:
-    """The one path column in lists of at most `size`, fetched one partition at a time.
+    """The one path column in lists of at most `size`.
 
     Spark plans a file scan from a list of paths on the driver. Lists of bounded size
-    keep that list small however many files wait.
+    keep that list small however many files wait; paths come in partitions of about that size.
     """
-    rows = paths.toLocalIterator()
+    parts = max(1, -(-paths.count() // size))
+    rows = paths.repartition(parts).toLocalIterator()
     while batch := [r[0] for r in islice(rows, size)]:
         yield batch
 
 
+def scan_present(spark: SparkSession, paths: list[str]) -> Iterator[DataFrame]:
+    """The files of these names that exist, mostly as one table; a missing one is warned of.
+
+    Spark refuses a list with a path that is not there. Such a list is halved until the path
+    stands alone. A file that goes while it is read is passed over.
+    """
+    try:
+        yield scan_exactly(spark, paths)
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+        if len(paths) == 1:
+            warnings.warn(f"file is gone: {paths[0]}", stacklevel=2)
+            return
+        for half in (paths[: len(paths) // 2], paths[len(paths) // 2 :]):
+            yield from scan_present(spark, half)
+
+
 def scan_exactly(spark: SparkSession, paths: list[str]) -> DataFrame:
     """The files of these names, where `*`, `[` and the like are plain characters."""
-    return scan_files(spark, [re.sub(r"([\\*?\[\]{}])", r"\\\1", p) for p in paths])
+    exact = [re.sub(r"([\\*?\[\]{}])", r"\\\1", p) for p in paths]
+    reader = spark.read.format("binaryFile").option("ignoreMissingFiles", "true")
+    return reader.option("recursiveFileLookup", "true").load(exact)

@@ -3,6 +3,8 @@
 Every run needs its own checkpoint folder, on storage that all executors see.
 """
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,6 +19,10 @@ STREAM_CHUNKS = T.StructType([*schemas.CHUNKS.fields, schemas.PARSED_DOCS["proce
 # Files that one micro-batch reads.
 BATCH_FILES = 100_000
 
+# Spark's file source passes over files much older than the newest it has seen. A file may come
+# late with any date, so there is no limit here.
+ANY_AGE = "36500d"
+
 
 def _append_new(rows: DataFrame, out: str, checkpoint: str) -> None:
     (
@@ -42,6 +48,7 @@ def parse_new_files(
         spark.readStream.format("binaryFile")
         .schema(schemas.FILES)
         .option("recursiveFileLookup", "true")
+        .option("maxFileAge", ANY_AGE)
         .option("maxFilesPerTrigger", max_files)
     )
     if glob:
@@ -55,6 +62,7 @@ def chunk_new_docs(
     """Append the chunks of the documents that are new in the folder `parsed`."""
     docs = (
         spark.readStream.schema(schemas.PARSED_DOCS)
+        .option("maxFileAge", ANY_AGE)
         .option("maxFilesPerTrigger", BATCH_FILES)
         .parquet(parsed)
     )
@@ -68,24 +76,35 @@ def latest_by_id(rows: DataFrame) -> DataFrame:
     return (
         rows.groupBy("id")
         .agg(F.max(F.struct("processed", content.alias("c"))).alias("r"))
-        .select("id", "r.c.*")
+        .select("id", "r.processed", "r.c.*")
     )
 
 
+def checkpoint_id(spark: SparkSession, checkpoint: str) -> str:
+    """A random name kept in the checkpoint folder: batch numbers start again in a new one."""
+    path = f"{checkpoint}/docpipe-id"
+    name = F.lit(uuid.uuid4().hex).alias("id")
+    spark.range(1, numPartitions=1).select(name).write.mode("ignore").parquet(path)
+    return spark.read.schema("id string").parquet(path).first().id
+
+
 def sync_index(
     spark: SparkSession, chunk_dir: str, index: VectorIndex, checkpoint: str, name: str
 ) -> None:
     """Upsert the chunks that are new in `chunk_dir`.
 
-    The index keeps the stream's name and batch number, so a batch that Spark hands over
-    again after a failure changes nothing.
+    The index keeps the stream's name, its checkpoint and the batch number, so a batch that
+    Spark hands over again after a failure changes nothing, and a stream that starts anew is
+    read again. A chunk never replaces one whose document was parsed later.
     """
+    checkpoint_name = checkpoint_id(spark, checkpoint)
 
     def apply(rows: DataFrame, batch: int) -> None:
-        index.upsert(latest_by_id(rows), f"{name}:{batch}")
+        index.upsert(latest_by_id(rows), f"{name}:{checkpoint_name}:{batch}")
 
     (
         spark.readStream.schema(STREAM_CHUNKS)
+        .option("maxFileAge", ANY_AGE)
         .option("maxFilesPerTrigger", BATCH_FILES)
         .parquet(chunk_dir)
         .writeStream.foreachBatch(apply)

@@ -260,7 +260,6 @@ def all_oracles() -> dict[str, str]:
             WITH {LINES}, {_counted("c", "id", "chunks", "text")}
             SELECT id, bucket, n, norm2 FROM c_counts JOIN c_norms USING (id)""",
         "q_sync": f"WITH {NEW_CHUNKS} {STATE}",
-        "q_compacted": f"WITH {NEW_CHUNKS} {STATE}",
         "q_knn_embeddings": KNN,
         "q_top_k": f"WITH {_ranked()} SELECT * FROM full_hits",
         "q_top_k_blocks": f"WITH {_ranked()} SELECT qid, rank, id, score FROM hits",

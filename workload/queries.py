@@ -215,7 +215,7 @@ def parsed_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, parsed).select(
         data.page_of().alias("page_id"),
         F.size(
-            F.from_json("parsed_content", schemas.PARSED_CONTENT)["document"]["elements"]
+            F.from_json("parsed_content", schemas.PARSED_CONTENT, schemas.JSON_OPTIONS)["document"]["elements"]
         ).alias("n_elements"),
         F.col("processed").isNotNull().alias("dated"),
     )
@@ -303,13 +303,6 @@ def synced(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _state(_synced(spark, sf_dir))
 
 
-def compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same with the changes written into a new base."""
-    idx = _synced(spark, sf_dir)
-    idx.compact()
-    return _state(idx)
-
-
 # Search
 
 
@@ -420,7 +413,7 @@ def stream_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     parsed = spark.read.schema(schemas.PARSED_DOCS).parquet(f"{work}/parsed")
     return parsed.select(
         data.page_of().alias("page_id"),
-        F.inline(F.from_json("parsed_content", schemas.PARSED_CONTENT)["document"]["elements"]),
+        F.inline(F.from_json("parsed_content", schemas.PARSED_CONTENT, schemas.JSON_OPTIONS)["document"]["elements"]),
     )
 
 
@@ -470,7 +463,6 @@ def all_queries() -> dict:
         "q_key_violations": key_violations,
         "q_embed": embedded,
         "q_sync": synced,
-        "q_compacted": compacted,
         "q_knn_embeddings": knn_embeddings,
         "q_top_k": top_k,
         "q_top_k_blocks": top_k_blocks,
