@@ -1,12 +1,21 @@
 """Document metadata read from the page itself."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docpipe.functions.text import clean_text
 from docpipe.operators import parse
 
 
+# An href of any tag: in double or single quotes, or bare.
+LINK = r"""(?i)<[a-z][^<>]*?\shref\s*=\s*("[^"]*"|'[^']*'|[^\s"'<>]+)"""
+
+
+def _link(value: Column) -> Column:
+    quoted = value.rlike("""^["']""")
+    return parse.decode_entities(F.when(quoted, F.substr(value, F.lit(2), F.length(value) - 2)).otherwise(value))
+
+
 def extract(pages: DataFrame, html: str = "html") -> DataFrame:
     """Add title, summary (the first text element) and links to rows with a page.
 
@@ -19,5 +28,5 @@ def extract(pages: DataFrame, html: str = "html") -> DataFrame:
         "*",
         F.nullif(clean_text(title), F.lit("")).alias("title"),
         clean_text(first_text["content"]).alias("summary"),
-        F.regexp_extract_all(page, F.lit(r'(?i)\bhref="([^"]*)"'), F.lit(1)).alias("links"),
+        F.transform(F.regexp_extract_all(page, F.lit(LINK), F.lit(1)), _link).alias("links"),
     )

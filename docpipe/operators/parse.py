@@ -1,10 +1,13 @@
 """HTML documents to JSON of typed elements, with native expressions only."""
 
+import json
+from html.entities import html5
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docpipe.functions.text import SPACE, norm_path, strip
-from docpipe.operators import tables
+from docpipe.operators import registry, tables
 
 # What a reader does not see as content. No pattern may look twice for an end that is not
 # there: a page of open tags would cost the square of its length.
@@ -20,22 +23,19 @@ ASIDE = (
     r"(?is)<nav\b.*?</nav\s*>|(<nav\b.*)",
     r"(?is)<footer\b.*?</footer\s*>|(<footer\b.*)",
     r"(?is)<head\b.*?</head\s*>|(<head\b.*)",
+    r"(?is)<title\b.*?</title\s*>|(<title\b.*)",
     r'(?is)<div class="ad">.*?</div>|(<div class="ad">.*)',
 )
 
-# Named character references of HTML, `&amp;` last so that nothing is
-# decoded twice.
-ENTITIES = {
-    "&quot;": '"',
-    "&apos;": "'",
-    "&#39;": "'",
-    "&lt;": "<",
-    "&gt;": ">",
-    "&nbsp;": "\u00a0",
-    "&copy;": "©",
-    "&middot;": "·",
-    "&amp;": "&",
-}
+# Named character references that are found without a look at the whole table.
+COMMON_NAMES = ("amp", "lt", "gt", "quot", "nbsp", "apos")
+
+# Tags that end an element and start a new one. Text outside of any is an element too; noise is
+# what HIDDEN and ASIDE take away.
+BLOCKS = (
+    "p|div|section|article|main|body|html|header|aside|ul|ol|li|dl|dt|dd|table|caption|thead|tbody"
+    "|tfoot|tr|td|th|pre|blockquote|figure|figcaption|form|fieldset|legend|address|details|summary|hr"
+)
 
 # Starts a piece of the page; the letter behind it says which kind.
 MARK = "\x02"
@@ -46,16 +46,41 @@ def html_text(content: Column) -> Column:
     return F.make_valid_utf8(content.cast("string"))
 
 
+def _character(code: Column) -> Column:
+    """The character with that number; U+FFFD if there is none."""
+    known = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
+    return F.decode(F.unhex(F.lpad(F.hex(F.when(known, code).otherwise(0xFFFD)), 8, "0")), "UTF-32")
+
+
 def decode_entities(text: Column) -> Column:
-    for name, char in ENTITIES.items():
-        text = F.replace(text, F.lit(name), F.lit(char))
-    return text
+    """Text with character references, named or by number, as characters. Unknown ones stay."""
+    # one literal, which Spark reads once for a query
+    names = json.dumps({name[:-1]: char for name, char in html5.items() if name[-1] == ";"})
+    table = F.from_json(F.lit(names), "map<string,string>")
+
+    def decoded(piece: Column) -> Column:
+        name = F.regexp_extract(piece, r"^(#[0-9]{1,7}|#[xX][0-9A-Fa-f]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});", 1)
+        char = F.when(name == "", None)
+        for common in COMMON_NAMES:
+            char = char.when(name == common, F.lit(html5[f"{common};"]))
+        char = char.when(name.rlike("^#[xX]"), _character(F.conv(F.substr(name, F.lit(3)), 16, 10).cast("int")))
+        char = char.when(name.startswith("#"), _character(F.substr(name, F.lit(2)).cast("int")))
+        char = char.otherwise(F.try_element_at(table, name))
+        rest = F.substr(piece, F.length(name) + 2)
+        return F.coalesce(F.concat(char, rest), F.concat(F.lit("&"), piece))
+
+    pieces = F.split(text, "&")
+    tail = F.transform(F.slice(pieces, 2, F.size(pieces)), decoded)
+    return F.when(F.contains(text, F.lit("&")), F.concat(pieces[0], F.array_join(tail, ""))).otherwise(text)
 
 
 def html_elements(html: Column) -> Column:
-    """Page → array of (id, type, content): `title` from h1, `text` from p, in page order.
+    """Page → array of (id, type, content), in page order.
 
-    An element ends where the next one starts or a block closes, so open tags do no harm.
+    `title` comes from h1, `heading` from h2 to h6, `text` from all else that is seen: paragraphs,
+    list items, table cells, preformatted text and what stands in no block at all. Machine text,
+    comments, navigation, page footers, the head and ads are noise. An element ends where the next
+    block starts or one closes, so open tags do no harm.
     """
     page = F.translate(html, MARK, "")
     for pattern in HIDDEN:
@@ -63,18 +88,20 @@ def html_elements(html: Column) -> Column:
     for pattern in ASIDE:
         page = F.regexp_replace(page, pattern, "$1")
     page = F.regexp_replace(page, r"(?i)<h1\b[^<>]*>", MARK + "h")
-    page = F.regexp_replace(page, r"(?i)<p\b[^<>]*>", MARK + "p")
-    page = F.regexp_replace(page, r"(?i)</(?:h1|p|div|article|body|html)\s*>", MARK + "x")
+    page = F.regexp_replace(page, r"(?i)<h[2-6]\b[^<>]*>", MARK + "s")
+    page = F.regexp_replace(page, rf"(?i)(?:</?(?:{BLOCKS})\b[^<>]*>|</h[1-6]\s*>)", MARK + "p")
     page = F.regexp_replace(page, r"(?i)<br\s*/?>", "\n")
     page = F.regexp_replace(page, r"<[^<>]*>", "")
-    # What stands before the first mark is no element.
-    page = F.concat(F.lit("x"), page)
-    pieces = F.filter(F.split(page, MARK), lambda p: p.rlike(f"^[hp][{SPACE}]*[^{SPACE}]"))
+    page = F.concat(F.lit("p"), page)
+    pieces = F.filter(F.split(page, MARK), lambda p: p.rlike(f"^[hsp][{SPACE}]*[^{SPACE}]"))
     return F.transform(
         pieces,
         lambda p, i: F.struct(
             i.cast("string").alias("id"),
-            F.when(p.startswith("h"), "title").otherwise("text").alias("type"),
+            F.when(p.startswith("h"), "title")
+            .when(p.startswith("s"), "heading")
+            .otherwise("text")
+            .alias("type"),
             decode_entities(strip(F.substr(p, F.lit(2)))).alias("content"),
         ),
     )
@@ -95,21 +122,25 @@ def to_parsed_docs(files: DataFrame) -> DataFrame:
 
 
 def to_markdown(elements: Column) -> Column:
-    """Elements → one text, titles as headings."""
+    """Elements → one text, titles and headings marked."""
     return F.array_join(
         F.transform(
             elements,
-            lambda e: F.when(e["type"] == "title", F.concat(F.lit("# "), e["content"])).otherwise(
-                e["content"]
-            ),
+            lambda e: F.when(e["type"] == "title", F.concat(F.lit("# "), e["content"]))
+            .when(e["type"] == "heading", F.concat(F.lit("## "), e["content"]))
+            .otherwise(e["content"]),
         ),
         "\n\n",
     )
 
 
 def append_parsed(parsed: DataFrame, table: str) -> None:
-    """Append the documents that the table does not hold, so a rerun adds nothing."""
+    """Append the documents that the table does not hold, one row for each path.
+
+    So a rerun adds nothing. Of rows with one path the latest stays.
+    """
     doc_path = norm_path(F.col("path")).alias("doc_path")
-    held = parsed.sparkSession.table(table).select(doc_path).distinct()
-    new = parsed.select(doc_path, "*").join(held, "doc_path", "left_anti")
-    tables.append(new, table)
+    held = parsed.sparkSession.table(table).select(norm_path(F.col("path")))
+    latest = F.max(F.struct("processed", "path", "parsed_content")).alias("r")
+    one = parsed.where(F.col("path").isNotNull()).groupBy(doc_path).agg(latest).select("doc_path", "r.*")
+    tables.append(registry.without(one, F.col("doc_path"), held), table)

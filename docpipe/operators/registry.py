@@ -15,7 +15,7 @@ def unused(df: DataFrame, name: str) -> str:
     return name
 
 
-def _without(left: DataFrame, key: Column, known: DataFrame) -> DataFrame:
+def without(left: DataFrame, key: Column, known: DataFrame) -> DataFrame:
     """Rows of `left` whose key is not in the one column of `known`; a NULL key never matches.
 
     A row without a key gets a number of its own to join by, so that many of them are
@@ -34,12 +34,12 @@ def register(new_files: DataFrame, table: str) -> None:
 
 def pending(source: DataFrame, parsed: DataFrame) -> DataFrame:
     """Registered documents that are not parsed yet. Paths are compared without `dbfs:`."""
-    return _without(source, norm_path(F.col("doc_path")), parsed.select(norm_path(F.col("path"))))
+    return without(source, norm_path(F.col("doc_path")), parsed.select(norm_path(F.col("path"))))
 
 
 def new_files(listing: DataFrame, source: DataFrame) -> DataFrame:
     """Listed files whose id is not registered."""
-    return _without(listing, F.col("source_file_id"), source.select("source_file_id"))
+    return without(listing, F.col("source_file_id"), source.select("source_file_id"))
 
 
 def exists_many(ids: DataFrame, source: DataFrame) -> DataFrame:

@@ -15,12 +15,34 @@ PAGE = """<!DOCTYPE html><html><HEAD><title>T &amp; &quot;U&quot;</title>
 <a HREF="/y">link</a></article>tail<footer><p>no</p></footer></body></html>"""
 
 ELEMENTS = [
-    ("0", "title", "Head&lt;"),
-    ("1", "text", "one\ntwo bold"),
-    ("2", "text", "three\u00a0"),
-    ("3", "text", "© · end\nlink"),
+    ("0", "text", "also no"),
+    ("1", "title", "Head&lt;"),
+    ("2", "text", "one\ntwo bold"),
+    ("3", "text", "three\u00a0"),
+    ("4", "text", "© · end\nlink"),
+    ("5", "text", "tail"),
 ]
 
+# Pages as they come, and what is to be read from them: (type, content).
+SHAPES = {
+    "<h1>A</h1><h2 id=x>B</h2>c<H6>D</H6>e": [
+        ("title", "A"), ("heading", "B"), ("text", "c"), ("heading", "D"), ("text", "e"),
+    ],
+    "<ul><li>one<li>two</li></ul>after": [("text", "one"), ("text", "two"), ("text", "after")],
+    "<table><tr><th>k</th><td>v</td></tr><tr><td>k2<td>v2</table>": [
+        ("text", "k"), ("text", "v"), ("text", "k2"), ("text", "v2"),
+    ],
+    "<pre>a\n  b</pre><div>bare <i>div</i></div>": [("text", "a\n  b"), ("text", "bare div")],
+    "<title>no</title>loose": [("text", "loose")],
+    "plain text": [("text", "plain text")],
+    "<p>it&#8217;s &ndash; caf&eacute; &#x1F600; &nosuch; &#0; a&b AT&T; &amp;lt; &notin;</p>": [
+        ("text", "it\u2019s \u2013 caf\u00e9 \U0001f600 &nosuch; \ufffd a&b AT&T; &lt; \u2209"),
+    ],
+    "<section><blockquote>q</blockquote><dl><dt>t<dd>d</dl></section>": [
+        ("text", "q"), ("text", "t"), ("text", "d"),
+    ],
+}
+
 
 def one(spark, html, expr):
     return spark.createDataFrame([(html,)], "html string").select(expr).first()[0]
@@ -31,8 +53,21 @@ def test_elements(spark):
     assert [tuple(e) for e in got] == ELEMENTS
 
 
+def test_shapes(spark):
+    for html, want in SHAPES.items():
+        got = one(spark, html, parse.html_elements(F.col("html")))
+        assert [(e.type, e.content) for e in got] == want, html
+
+
+def test_links(spark):
+    page = """<a href='/x'>1</a><a data-href="no" class="c" HREF = "/y?a=1&amp;b=2">2</a><a href=/z>3</a>
+    <a\nhref="">4</a><a title="href='q'">5</a>"""
+    row = metadata.extract(spark.createDataFrame([(page,)], "html string")).first()
+    assert row.links == ["/x", "/y?a=1&b=2", "/z", ""]
+
+
 def test_no_elements(spark):
-    for html in ("", "plain text", "<p> \n </p>", "<!-- <p>x</p> -->"):
+    for html in ("", "<p> \n </p>", "<!-- <p>x</p> -->", "<nav>x</nav><footer>y</footer>"):
         assert one(spark, html, parse.html_elements(F.col("html"))) == []
     assert one(spark, None, parse.html_elements(F.col("html"))) is None
 
@@ -70,7 +105,7 @@ def test_mark_in_page_is_harmless(spark):
 
 def test_markdown(spark):
     got = one(spark, PAGE, parse.to_markdown(parse.html_elements(F.col("html"))))
-    assert got == "# Head&lt;\n\none\ntwo bold\n\nthree\u00a0\n\n© · end\nlink"
+    assert got == "also no\n\n# Head&lt;\n\none\ntwo bold\n\nthree\u00a0\n\n© · end\nlink\n\ntail"
 
 
 def test_bad_bytes_do_not_stop_the_job(spark):
@@ -94,7 +129,7 @@ def test_parsed_content_reads_back(spark):
 def test_metadata(spark):
     row = metadata.extract(spark.createDataFrame([(PAGE,)], "html string")).first()
     assert row.title == 'T & "U"'
-    assert row.summary == "one two bold"
+    assert row.summary == "also no"
     assert row.links == ["/x", "/y"]
     empty = metadata.extract(spark.createDataFrame([("",)], "html string")).first()
     assert (empty.title, empty.summary, empty.links) == (None, "", [])

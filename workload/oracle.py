@@ -4,6 +4,12 @@
 W = r"\t-\r\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 L = r"\p{L}\p{N}_"
 
+# Tags at which an element of a page ends.
+BLOCKS = (
+    "p|div|section|article|main|body|html|header|aside|ul|ol|li|dl|dt|dd|table|caption|thead|tbody"
+    "|tfoot|tr|td|th|pre|blockquote|figure|figcaption|form|fieldset|legend|address|details|summary|hr"
+)
+
 
 def clean(text: str) -> str:
     return (
@@ -32,27 +38,28 @@ def _without_noise(page: str) -> str:
     page = f"regexp_replace({page}, '<!--.*?(-->|\\z)', '', 'gs')"
     for tag in ("script", "style"):
         page = f"regexp_replace({page}, '<{tag}\\b.*?(</{tag}\\s*>|\\z)', '', 'gis')"
-    for tag in ("nav", "footer", "head"):
+    for tag in ("nav", "footer", "head", "title"):
         page = f"regexp_replace({page}, '<{tag}\\b.*?</{tag}\\s*>', '', 'gis')"
     page = f"""regexp_replace({page}, '<div class="ad">.*?</div>', '', 'gis')"""
     page = f"regexp_replace({page}, '<h1\\b[^<>]*>', chr(2) || 'h', 'gi')"
-    page = f"regexp_replace({page}, '<p\\b[^<>]*>', chr(2) || 'p', 'gi')"
-    page = f"regexp_replace({page}, '</(?:h1|p|div|article|body|html)\\s*>', chr(2) || 'x', 'gi')"
+    page = f"regexp_replace({page}, '<h[2-6]\\b[^<>]*>', chr(2) || 's', 'gi')"
+    blocks = f"(?:</?(?:{BLOCKS})\\b[^<>]*>|</h[1-6]\\s*>)"
+    page = f"regexp_replace({page}, '{blocks}', chr(2) || 'p', 'gi')"
     page = f"regexp_replace({page}, '<br\\s*/?>', chr(10), 'gi')"
-    return f"'x' || regexp_replace({page}, '<[^<>]*>', '', 'g')"
+    return f"'p' || regexp_replace({page}, '<[^<>]*>', '', 'g')"
 
 
 ELEMENTS = f"""
 pieces AS (
     SELECT page_id, url, html,
         list_filter(string_split({_without_noise("html")}, chr(2)),
-            lambda p: regexp_matches(p, '^[hp][{W}]*[^{W}]')) AS ps
+            lambda p: regexp_matches(p, '^[hsp][{W}]*[^{W}]')) AS ps
     FROM pages),
 numbered AS (
     SELECT page_id, url, html, unnest(ps) AS p, generate_subscripts(ps, 1) - 1 AS ix FROM pieces),
 elements AS (
     SELECT page_id, url, html, ix, CAST(ix AS VARCHAR) AS id,
-        CASE WHEN p[1] = 'h' THEN 'title' ELSE 'text' END AS type,
+        CASE p[1] WHEN 'h' THEN 'title' WHEN 's' THEN 'heading' ELSE 'text' END AS type,
         {entities(f"regexp_replace(substr(p, 2), '^[{W}]+|[{W}]+$', '', 'g')")} AS content
     FROM numbered),
 titles AS (
