@@ -1,8 +1,8 @@
 import pytest
 from pyspark.sql import functions as F
 
-from docpipe.operators import embed
-from docpipe.operators.index import VectorIndex
+from docpipe.operators import chunks, embed
+from docpipe.operators.index import KeyViolation, VectorIndex
 from docpipe.plans import jobs
 from docpipe.sources.files import discover, path_batches, scan_files
 from docpipe.sources.tables import MissingTable, optional_table, read_table
@@ -116,3 +116,35 @@ def test_chunks_without_registry(spark, db, files):
     index = VectorIndex(spark, f"{db}.idx", dim=embed.DIM)
     jobs.index_chunks(spark, parsed, f"{db}.no_registry", f"{db}.chunks", index)
     assert spark.table(f"{db}.chunks").where("title IS NULL AND authors IS NULL").count() == 5
+
+
+def test_a_missing_file_is_passed_over(spark, db, files):
+    source, parsed = f"{db}.source_docs", f"{db}.parsed_docs"
+    jobs.ingest(spark, str(files), source, "*.html")
+    (files / "sub1/p1.html").unlink()
+    with pytest.warns(UserWarning, match="p1.html"):
+        jobs.parse_pending(spark, source, parsed)
+    assert spark.table(parsed).count() == 4
+    write(files, "sub1/p1.html", "<p>back</p>")
+    jobs.parse_pending(spark, source, parsed)
+    assert spark.table(parsed).count() == 5
+
+
+def test_bad_keys_leave_the_chunk_table(spark, db):
+    good = spark.createDataFrame([("a", "x"), ("b", "y")], "id string, text string")
+    chunks.save(good, f"{db}.chunks", 2)
+    with pytest.raises(KeyViolation):
+        chunks.save(good.unionByName(good), f"{db}.chunks", 2)
+    assert spark.table(f"{db}.chunks").count() == 2
+    chunks.save(good.where("id = 'a'"), f"{db}.chunks", 2)
+    assert [tuple(r) for r in spark.table(f"{db}.chunks").collect()] == [("a", "x")]
+
+
+def test_another_dimension_raises(spark, db):
+    idx = VectorIndex(spark, f"{db}.idx", dim=512)
+    idx.sync(spark.createDataFrame([("a", "x", "t", "w")], "id string, text string, title string, authors string"))
+    asked = spark.createDataFrame([("q", "x")], "qid string, question string")
+    table = spark.createDataFrame([("a", "x", "t", "w")], "id string, text string, title string, authors string")
+    with pytest.raises(ValueError, match="512"):
+        jobs.answer_prompts(asked, idx.read(), table, dim=256)
+    assert [r.context for r in jobs.answer_prompts(asked, idx.read(), table).collect()] == ["x"]

@@ -82,3 +82,15 @@ def test_reset_skips_missing_tables(spark, db):
     tables.append(spark.range(3).select(F.col("id").cast("string").alias("path")), name)
     assert tables.reset(spark, name, f"{db}.absent") == [name]
     assert spark.table(name).isEmpty()
+
+
+def test_paths_meet_without_dbfs(spark):
+    source = spark.createDataFrame(
+        [("dbfs:/docs/1", "f1", "T1"), ("/docs/2", "f2", "T2"), ("dbfs:/docs/3", "f3", "T3"), (None, "f4", None)],
+        "doc_path string, source_file_id string, title string",
+    ).selectExpr("*", "array('A') AS authors", "timestamp'2024-01-01' AS updated", "1 AS known")
+    parsed = spark.createDataFrame([("dbfs:/docs/1",), ("dbfs:/docs/2",)], "path string")
+    left = registry.pending(source, parsed)
+    assert left.columns == source.columns
+    assert {(r.source_file_id, r.known) for r in left.collect()} == {("f3", 1), ("f4", 1)}
+    assert {r.doc_path for r in registry.one_per_path(source).collect()} == {"/docs/1", "/docs/2", "/docs/3", None}

@@ -1,3 +1,4 @@
+import os
 from datetime import datetime
 
 import pytest
@@ -73,3 +74,28 @@ def test_stream_joins_the_registry(spark, work):
     runs.chunk_new_docs(spark, f"{work}/parsed", f"{work}/chunks", f"{work}/log2", source)
     row = spark.read.parquet(f"{work}/chunks").first()
     assert (row.title, row.authors, row.text) == ("Title", "A", "one")
+
+
+def test_files_with_old_dates_are_read(spark, work):
+    (work / "in/a.html").write_text("<p>one</p>")
+    assert parse(spark, work).count() == 1
+    late = work / "in/late.html"
+    late.write_text("<p>late</p>")
+    month_ago = late.stat().st_mtime - 30 * 86_400
+    os.utime(late, (month_ago, month_ago))
+    assert parse(spark, work).count() == 2
+
+
+def test_new_checkpoint_takes_new_and_old_files(spark, work, db):
+    idx = VectorIndex(spark, f"{db}.idx")
+
+    def run(log):
+        parse(spark, work)
+        runs.chunk_new_docs(spark, f"{work}/parsed", f"{work}/chunks", f"{work}/log2")
+        runs.sync_index(spark, f"{work}/chunks", idx, f"{work}/{log}", "chunks")
+        return {r.id.rsplit("/", 1)[1] for r in idx.read().collect()}
+
+    (work / "in/a.html").write_text("<p>one</p>")
+    assert run("log3") == {"a.html_0"}
+    (work / "in/b.html").write_text("<p>two</p>")
+    assert run("log4") == {"a.html_0", "b.html_0"}
