@@ -7,7 +7,6 @@ left are compared with the item by exact similarity of weighted shingles. Simila
 a common shingle, so only windows around places that have a shingle of some item are looked at.
 """
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -16,7 +15,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from docpipe.llm.common import WordHashes, attach, fresh, shingle_hashes, table, text_of
+from docpipe.llm.common import (
+    STEP_BYTES,
+    Rolling,
+    attach,
+    fresh,
+    shingle_hashes,
+    steps,
+    table,
+    text_bytes,
+    text_of,
+)
 
 SHINGLE = 5
 LEAST = 0.8
@@ -24,12 +33,49 @@ LEAST = 0.8
 RADIUS = 23
 #: Items that one pass over the documents looks for; more items take more passes.
 BLOCK = 50_000
-_WORDS = re.compile(r"\w+")
 
+# Bytes of words: ASCII letters, digits and underscores, and all of other characters.
+_IN_WORD = np.zeros(256, bool)
+_IN_WORD[[ord(c) for c in "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789_"]] = True
+_IN_WORD[0x80:] = True
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
+
+
+def split_words(rolling: Rolling, raw: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The hash of each word of some texts, and the number of its text.
 
-def words_of(text: str, hashes: WordHashes) -> np.ndarray:
-    """Hashes of the words: letters, digits and underscores, in lower case."""
-    return hashes.of([w.encode() for w in _WORDS.findall(text.lower())])
+    Words are runs of ASCII letters (A-Z as a-z), digits, underscores and characters from U+00C0
+    on without the marks from U+2000 to U+203F. `raw` is UTF-8, `starts` where texts start in it.
+    """
+    data = _LOWER[raw[starts[0] : starts[-1]]]
+    inside = _IN_WORD[data]
+    # the first byte of U+0080 to U+00BF, then the first two of U+2000 to U+203F
+    for place, length in ((np.flatnonzero(data == 0xC2), 2), (np.flatnonzero(data == 0xE2), 3)):
+        if length == 3:
+            place = place[data[place + 1] == 0x80]
+        for k in range(length):
+            inside[place + k] = False
+    edge = np.zeros(len(data) + 1, bool)
+    edge[starts - starts[0]] = True
+    first = inside.copy()
+    first[1:] &= ~inside[:-1] | edge[1:-1]
+    last = inside.copy()
+    last[:-1] &= ~inside[1:] | edge[1:-1]
+    begin, end = np.flatnonzero(first), np.flatnonzero(last) + 1
+    hashes = np.empty(len(begin), np.uint64)
+    # a piece at a time, so that a long text needs no long arrays of numbers
+    cuts = np.searchsorted(begin, np.arange(0, len(data) + STEP_BYTES, STEP_BYTES))
+    for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+        if a < b:
+            rolling.load(data[begin[a] : end[b - 1]])
+            hashes[a:b] = rolling.of(begin[a:b] - begin[a], end[a:b] - begin[a])
+    return hashes, np.searchsorted(starts - starts[0], begin, "right") - 1
+
+
+def words_of(text: str, rolling: Rolling) -> np.ndarray:
+    raw = np.frombuffer(text.encode(), np.uint8)
+    return split_words(rolling, raw, np.array([0, len(raw)]))[0]
 
 
 def fingerprints(shingles: np.ndarray, weights: np.ndarray, size: int) -> np.ndarray:
@@ -70,11 +116,11 @@ class Items:
     """A block of benchmark items, by their number of words."""
 
     def __init__(self, items: list[tuple[int, str]]):
-        hashes = WordHashes()
+        rolling = Rolling()
         self.sizes: dict[int, list] = {}
         sets = []
         for item_id, text in items:
-            words = words_of(text, hashes)
+            words = words_of(text, rolling)
             if len(words):
                 sets.append((item_id, len(words), shingle_hashes(words, SHINGLE)))
         together = [np.unique(s) for _, _, s in sets] or [np.empty(0, np.uint64)]
@@ -108,6 +154,15 @@ class Items:
         at = np.flatnonzero(self.bits[(shingles & np.uint64((1 << 22) - 1)).astype(np.int64)])
         return at[np.isin(shingles[at], self.known)]
 
+    def touched(self, words: np.ndarray, owner: np.ndarray) -> np.ndarray:
+        """The texts that have a shingle of any item; `owner` is the text of each word."""
+        rows = [np.empty(0, np.int64)]
+        for length in self.lengths:
+            if len(words) >= length:
+                at = self.places(shingle_hashes(words, length))
+                rows.append(owner[at[owner[at] == owner[at + length - 1]]])
+        return np.unique(np.concatenate(rows))
+
     def similarity(self, a: np.ndarray, b: np.ndarray) -> float:
         """Weighted Jaccard of two bags of shingles."""
         names, inverse = np.unique(np.concatenate([a, b]), return_inverse=True)
@@ -167,15 +222,19 @@ _LEAKS_ARROW = pa.list_(
 
 def _with_block(docs: DataFrame, items: list[tuple[int, str]], name: str) -> DataFrame:
     def compute():
-        block, hashes = Items(items), WordHashes()
+        block, rolling = Items(items), Rolling()
 
         def step(batch: pa.RecordBatch) -> list:
-            out = []
-            for content in batch.column(0):
-                found = sorted(block.leaks(words_of(content.as_py(), hashes)))
-                out.append(
-                    [dict(zip(("item_id", "start", "n_words", "similarity"), x, strict=True)) for x in found]
-                )
+            raw, starts = text_bytes(batch.column(0))
+            out: list[list[dict]] = [[] for _ in range(batch.num_rows)]
+            for first, last in steps(starts):
+                words, owner = split_words(rolling, raw, starts[first : last + 1])
+                for row in block.touched(words, owner):
+                    own = slice(*np.searchsorted(owner, [row, row + 1]))
+                    found = sorted(block.leaks(words[own]))
+                    out[first + row] = [
+                        dict(zip(("item_id", "start", "n_words", "similarity"), x, strict=True)) for x in found
+                    ]
             return [pa.array(out, _LEAKS_ARROW)]
 
         return step
@@ -188,7 +247,7 @@ def find_leaks(
 ) -> DataFrame:
     """`docs` with `leaks`, or another `name`: for each benchmark item found its best window and similarity.
 
-    Words are `\\w+` in lower case; shingles have five words, and a shorter item is one shingle. An
+    Words are those of `split_words`; shingles have five words, and a shorter item is one shingle. An
     item is found if a window of its number of words has a fingerprint within RADIUS bits and a
     weighted Jaccard similarity of LEAST or more. Ties go to the first window. Texts are read
     whole; null texts and items, and those without words, match nothing; nor do items with null
@@ -198,7 +257,7 @@ def find_leaks(
     an empty table stays empty, and an empty benchmark finds nothing.
     """
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), text_of().alias("text"))
-    items = items.where(F.col("item_id").isNotNull() & F.col("text").rlike(r"\w"))
+    items = items.where(F.col("item_id").isNotNull() & (F.col("text") != ""))
     blocks = max(1, -(-items.count() // block))
     own = F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks))
     names = [fresh(docs, f"part{k}") for k in range(blocks)]

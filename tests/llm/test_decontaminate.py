@@ -1,11 +1,21 @@
 import random
+import re
 from collections import Counter
 
 import numpy as np
 import pytest
+from hypothesis import given
+from hypothesis import strategies as st
 
 from docpipe.llm import decontaminate as dc
-from docpipe.llm.common import WordHashes, shingle_hashes
+from docpipe.llm.common import Rolling, shingle_hashes
+
+WORD = re.compile("[0-9a-z_\u00c0-\u1fff\u2040-\U0010ffff]+")
+
+
+def lower(text):
+    return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+
 
 WORDS = [f"w{k}" for k in range(300)]
 
@@ -36,12 +46,12 @@ def brute(text, items):
     def bag(words, size):
         return Counter(tuple(words[k : k + size]) for k in range(len(words) - size + 1))
 
-    split = [dc._WORDS.findall((t or "").lower()) for t in items]
+    split = [WORD.findall(lower(t)) for t in items]
     weight = Counter()
     for words in split:
         if words:
             weight.update(set(bag(words, min(5, len(words)))))
-    words = dc._WORDS.findall((text or "").lower())
+    words = WORD.findall(lower(text))
     found = {}
     for number, item in enumerate(split):
         size = min(5, len(item))
@@ -103,8 +113,21 @@ def test_index_finds_all_within_the_radius():
         assert index.within(value).tolist() == want.tolist()
 
 
+@given(st.lists(st.text("aB_1 \u00a0\u00b7\u00e9\u2019\u2028\u2603\U0001f600-", max_size=12), max_size=5))
+def test_words(texts):
+    raw = [t.encode() for t in texts]
+    starts = np.cumsum([0] + [len(r) for r in raw])
+    words, owner = dc.split_words(Rolling(), np.frombuffer(b"".join(raw), np.uint8), starts)
+    want = [(k, w) for k, t in enumerate(texts) for w in WORD.findall(lower(t))]
+    assert owner.tolist() == [k for k, _ in want]
+    names = {}
+    for h, (_, w) in zip(words.tolist(), want, strict=True):
+        assert names.setdefault(w, h) == h
+    assert len(set(names.values())) == len(names)
+
+
 def test_fingerprints_of_windows_are_those_of_the_shingles():
-    shingles = shingle_hashes(dc.words_of("a b c d e f g h i j k l m", WordHashes()), 5)
+    shingles = shingle_hashes(dc.words_of("a b c d e f g h i j k l m", Rolling()), 5)
     weights = np.linspace(0.1, 1, len(shingles))
     runs = dc.fingerprints(shingles, weights, 4)
     for k in range(len(shingles) - 3):
