@@ -22,7 +22,9 @@ from docpipe.llm.common import (
     STEP_BYTES,
     Rolling,
     attach,
+    dropped,
     emit,
+    fresh,
     kept,
     steps,
     table,
@@ -34,9 +36,17 @@ LENGTH = 200
 #: Bytes that a trigger's hash covers. More tell more, and make more phrases.
 TRIGGER = 56
 
+#: Windows that are compared together before they are compared one by one.
+TOGETHER = 8
+
 KEY = ["ka", "kb"]
 
 
+def _shape(n: np.ndarray, lead: np.ndarray) -> np.ndarray:
+    """A number of windows, and how far before the trigger the first starts, as one number."""
+    return (n << 16) | lead
+
+
 def keys(text: Column) -> list[Column]:
     """128 bits that stand for a text."""
     digest = F.sha2(text, 256)
@@ -65,14 +75,14 @@ def phrases(rolling: Rolling, data: np.ndarray, starts: np.ndarray, length: int,
     """The phrases of texts that stand one after the other in `data`.
 
     Arrays: number of the text, trigger's hash, phrase's hash, first window's start within `data`,
-    number of windows.
+    number of windows, bytes from there to the trigger.
     """
     rolling.load(data)
     grams = rolling.grams(trigger)
     width = length - trigger + 1  # triggers that a window may have
     none = np.empty(0, np.int64)
     if len(grams) < width:
-        return none, none.astype(np.uint64), none.astype(np.uint64), none, none
+        return none, none.astype(np.uint64), none.astype(np.uint64), none, none, none
     places = np.arange(len(grams), dtype=np.uint64)
     bits = np.uint64(max(1, int(len(grams) - 1).bit_length()))
     # the least hash, and of equal ones the first place
@@ -89,18 +99,18 @@ def phrases(rolling: Rolling, data: np.ndarray, starts: np.ndarray, length: int,
     inside = begin + length <= ends[text]
     begin, text, least = begin[inside], text[inside], least[inside]
     if not len(begin):
-        return none, none.astype(np.uint64), none.astype(np.uint64), none, none
+        return none, none.astype(np.uint64), none.astype(np.uint64), none, none, none
     new = np.ones(len(begin), bool)
     new[1:] = (least[1:] != least[:-1]) | (text[1:] != text[:-1])
     first = np.flatnonzero(new)
     sizes = np.diff(np.append(first, len(begin)))
     at = begin[first]
-    by_trigger = grams[(least[first] & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)]
-    return text[first], by_trigger, rolling.of(at, at + sizes - 1 + length), at, sizes
+    place = (least[first] & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
+    return text[first], grams[place], rolling.of(at, at + sizes - 1 + length), at, sizes, place - at
 
 
 def parse(docs: DataFrame, length: int, trigger: int) -> DataFrame:
-    """All phrases of all texts: the text's key, `g` (trigger), `s` (phrase), `at`, `n` (windows)."""
+    """All phrases of all texts: the text's key, `g` (trigger), `s` (phrase), `at`, `shape`."""
 
     def compute():
         rolling = Rolling()
@@ -110,7 +120,7 @@ def parse(docs: DataFrame, length: int, trigger: int) -> DataFrame:
             ka, kb = (batch.column(k).to_numpy() for k in KEY)
             for row, bounds in _runs(starts, length):
                 data = raw[bounds[0] : bounds[-1]]
-                text, g, s, at, n = phrases(rolling, data, bounds, length, trigger)
+                text, g, s, at, n, lead = phrases(rolling, data, bounds, length, trigger)
                 rows = row + text
                 yield {
                     "ka": ka[rows],
@@ -118,57 +128,86 @@ def parse(docs: DataFrame, length: int, trigger: int) -> DataFrame:
                     "g": g.view(np.int64),
                     "s": s.view(np.int64),
                     "at": at + bounds[0] - starts[rows],
-                    "n": n,
+                    "shape": _shape(n, lead),
                 }
 
         return step
 
     texts = docs.select(*keys(F.col("text")), "text").where(F.octet_length("text") >= length)
-    return emit(texts, "ka long, kb long, g long, s long, at long, n long", compute)
+    return emit(texts, "ka long, kb long, g long, s long, at long, shape long", compute)
 
 
-def _windows(docs: DataFrame, parts: DataFrame, length: int) -> DataFrame:
-    """The windows of phrases: `g`, `s`, `h` (the window's bytes), the text's key, `at`, `alone`.
+def _cuts(docs: DataFrame, parts: DataFrame, length: int, trigger: int, together: int) -> DataFrame:
+    """Phrases cut into runs of at most `together` windows, at places that the trigger tells.
 
-    `parts` holds one list of phrases for each text, no longer than the text.
+    `parts` (text's key, `g`, `s`, `at`, `shape`, `alone`) may be phrases or such runs. Rows are the
+    same for each run, with `j` (which run it is, seen from the trigger), `outer`, the hash of all
+    its bytes, null where the phrase ends within the run, and `core`, that of the bytes that all
+    windows of the run have, whether the phrase has them or not.
     """
+    lists = parts.groupBy(*KEY).agg(F.collect_list(F.struct("g", "s", "at", "shape", "alone")).alias("parts"))
 
     def compute():
         rolling = Rolling(0x5851F42D4C957F2D)
 
+        def hashes(text: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
+            out = np.empty(len(start), np.uint64)
+            # a piece of the text at a time, so that a long one needs no long arrays
+            for low in range(0, len(text), STEP_BYTES):
+                here = (start >= low) & (start < low + STEP_BYTES)
+                if here.any():
+                    rolling.load(text[low : low + STEP_BYTES + length + together])
+                    out[here] = rolling.of(start[here] - low, stop[here] - low)
+            return out
+
         def step(batch: pa.RecordBatch):
             ka, kb = (batch.column(k).to_numpy() for k in KEY)
             for row in range(batch.num_rows):
                 text = np.frombuffer(batch.column("text")[row].as_py().encode(), np.uint8)
-                lists = batch.column("parts")[row].values
-                g, s, at, n, alone = (
-                    lists.field(k).to_numpy(zero_copy_only=False)
-                    for k in ("g", "s", "at", "n", "alone")
+                fields = batch.column("parts")[row].values
+                g, s, at, shape, alone = (
+                    fields.field(k).to_numpy(zero_copy_only=False)
+                    for k in ("g", "s", "at", "shape", "alone")
                 )
-                owner = np.repeat(np.arange(len(n)), n)
-                start = np.repeat(at - np.cumsum(n) + n, n) + np.arange(n.sum())
-                h = np.empty(len(start), np.uint64)
-                # a piece of the text at a time, so that a long one needs no long arrays
-                for low in range(0, len(text), STEP_BYTES):
-                    here = (start >= low) & (start < low + STEP_BYTES)
-                    if here.any():
-                        rolling.load(text[low : low + STEP_BYTES + length])
-                        h[here] = rolling.of(start[here] - low, start[here] - low + length)
+                n, lead = shape >> 16, shape & 0xFFFF
+                # the first window is `lead` before the trigger, the last lead - n + 1
+                low, high = (lead - n + 1) // together, lead // together
+                runs = high - low + 1
+                owner = np.repeat(np.arange(len(n)), runs)
+                j = np.arange(runs.sum()) - np.repeat(np.cumsum(runs) - runs, runs) + low[owner]
+                most = np.minimum(lead[owner], (j + 1) * together - 1)
+                least = np.maximum((lead - n + 1)[owner], j * together)
+                place = (at + lead)[owner]
+                whole = most - least + 1 == together
+                begin = place - most
+                last = np.minimum((j + 1) * together - 1, length - trigger)
+                core = hashes(text, place - j * together, place - last + length)
+                outer = hashes(text, begin, place - least + length)
                 yield {
-                    "ka": np.full(len(start), ka[row]),
-                    "kb": np.full(len(start), kb[row]),
+                    "ka": np.full(len(owner), ka[row]),
+                    "kb": np.full(len(owner), kb[row]),
                     "g": g[owner],
                     "s": s[owner],
-                    "h": h.view(np.int64),
-                    "at": start,
+                    "at": begin,
+                    "shape": _shape(most - least + 1, most),
                     "alone": pa.array(alone[owner]),
+                    "j": j,
+                    "outer": pa.array(outer.view(np.int64), mask=~whole),
+                    "core": core.view(np.int64),
                 }
 
         return step
 
-    texts = docs.select(*keys(F.col("text")), "text").join(parts, KEY)
-    schema = "ka long, kb long, g long, s long, h long, at long, alone boolean"
-    return emit(texts.select(*KEY, "text", "parts"), schema, compute)
+    texts = docs.select(*keys(F.col("text")), "text").join(lists, KEY)
+    schema = "ka long, kb long, g long, s long, at long, shape long, alone boolean, j long, outer long, core long"
+    # copies of a text come with the same rows
+    return emit(texts.select(*KEY, "text", "parts"), schema, compute).distinct()
+
+
+def _shared(runs: DataFrame, name: str) -> DataFrame:
+    """The values of `name` that runs of different phrases of one trigger have in one place."""
+    ends = runs.groupBy("g", "j", name).agg(F.min("s").alias("a"), F.max("s").alias("b"))
+    return ends.where("a <> b").select("g", "j", name)
 
 
 def repeated(docs: DataFrame, length: int = LENGTH, trigger: int = TRIGGER) -> DataFrame:
@@ -180,24 +219,33 @@ def repeated(docs: DataFrame, length: int = LENGTH, trigger: int = TRIGGER) -> D
     found = kept(parse(docs, length, trigger), "phrases")
     twice = found.groupBy("g").agg(F.count("*").alias("times")).where("times > 1").select("g")
     # copies of a text have the same rows; they are counted before anything is joined by phrase
-    places = ["ka", "kb", "g", "s", "at", "n"]
+    places = [*KEY, "g", "s", "at", "shape"]
     hits = found.join(twice, "g").groupBy(*places).agg(F.count("*").alias("times"))
     hits = kept(hits, "repeated-phrases")
+    dropped(found)
     kinds = hits.groupBy("g", "s").agg(F.sum("times").alias("times"), F.min("ka").alias("least"))
     kinds = kept(kinds, "phrase-kinds")
-    whole = hits.join(kinds.where("times > 1").select("g", "s"), ["g", "s"]).select(*KEY, "at", "n")
-    # one trigger, different phrases: the windows of one text that has each phrase
+    n = F.shiftright("shape", 16).alias("n")
+    whole = hits.join(kinds.where("times > 1").select("g", "s"), ["g", "s"]).select(*KEY, "at", n)
+    # one trigger, different phrases: of each phrase, one text's
     mixed = kinds.groupBy("g").agg(F.count("*").alias("kinds")).where("kinds > 1").select("g")
     alone = (F.col("times") == 1).alias("alone")
     chosen = kinds.join(mixed, "g").select("g", "s", F.col("least").alias("ka"), alone)
     chosen = hits.drop("times").join(chosen, ["g", "s", "ka"])
-    parts = chosen.groupBy(*KEY).agg(F.collect_list(F.struct("g", "s", "at", "n", "alone")).alias("parts"))
-    windows = kept(_windows(docs, parts, length), "windows")
-    # a phrase has no window twice, so a window is elsewhere too if two phrases have it
-    shared = windows.groupBy("g", "h").agg(F.min("s").alias("a"), F.max("s").alias("b"))
-    shared = shared.where("a <> b").select("g", "h")
-    single = windows.where("alone").join(shared, ["g", "h"]).select(*KEY, "at", F.lit(1).cast("long").alias("n"))
-    return whole.unionByName(single)
+    # A phrase has no window twice, so a window is elsewhere too if two phrases have it. Runs of
+    # windows whose bytes two phrases have are settled; so are those whose core just one has.
+    runs = kept(_cuts(docs, chosen, length, trigger, TOGETHER), "window-runs")
+    same = _shared(runs.where("outer is not null"), "outer").withColumn("same", F.lit(True))
+    near = runs.join(_shared(runs, "core"), ["g", "j", "core"]).join(same, ["g", "j", "outer"], "left")
+    near = kept(near, "near-runs")
+    dropped(runs)
+    several = near.where("same and alone").select(*KEY, "at", n)
+    unsettled = near.where("same is null and alone").select("g", "j", "core").distinct()
+    rest = near.join(unsettled, ["g", "j", "core"], "left_semi").select(*KEY, "g", "s", "at", "shape", "alone")
+    single = _cuts(docs, rest, length, trigger, 1).drop("core", "shape").withColumn("n", F.lit(1).cast("long"))
+    single = kept(single, "windows")
+    single = single.where("alone").join(_shared(single, "outer"), ["g", "j", "outer"]).select(*KEY, "at", "n")
+    return whole.unionByName(several).unionByName(single)
 
 
 SPAN = T.ArrayType(
@@ -227,27 +275,28 @@ def remove_repeated(
     under `length` bytes lose nothing. Repeated rows are documents of their own. Columns `removed` and
     `kept` of `docs` are replaced; an empty table stays empty.
     """
-    whole = docs.withColumn("__text", text_of(text))
-    given = whole.select(F.col("__text").alias("text"))
-    places = repeated(given, length, trigger).distinct()
-    places = places.groupBy(*KEY).agg(F.collect_list(F.struct("at", "n")).alias("__places"))
+    content, found, *own = (fresh(docs, n) for n in ("content", "found", *KEY))
+    whole = docs.withColumn(content, text_of(text))
+    places = repeated(whole.select(F.col(content).alias("text")), length, trigger).distinct()
+    places = places.groupBy(*[F.col(k).alias(n) for k, n in zip(KEY, own, strict=True)])
+    places = places.agg(F.collect_list(F.struct("at", "n")).alias(found))
     # texts that are too short have no places; they need not meet in one task
-    long_enough = F.octet_length("__text") >= length
-    keyed = whole.withColumns(dict(zip(KEY, keys(F.col("__text")), strict=True)))
-    joined = keyed.where(long_enough).join(places, KEY, "left")
-    rest = keyed.where(~long_enough).withColumn("__places", F.lit(None).cast(joined.schema["__places"].dataType))
-    joined = joined.select(*rest.columns).unionByName(rest).drop(*KEY)
+    long_enough = F.octet_length(content) >= length
+    keyed = whole.withColumns(dict(zip(own, keys(F.col(content)), strict=True)))
+    joined = keyed.where(long_enough).join(places, own, "left")
+    rest = keyed.where(~long_enough).withColumn(found, F.lit(None).cast(joined.schema[found].dataType))
+    joined = joined.select(*rest.columns).unionByName(rest).drop(*own)
 
     def compute():
         def step(batch: pa.RecordBatch) -> list:
             spans, rest = [], []
-            for content, found in zip(batch.column(0), batch.column(1), strict=True):
-                data = content.as_py().encode()
-                if not found.is_valid:
+            for one, windows in zip(batch.column(0), batch.column(1), strict=True):
+                data = one.as_py().encode()
+                if not windows.is_valid:
                     spans.append([])
                     rest.append(data)
                     continue
-                at, n = (found.values.field(k).to_numpy(zero_copy_only=False) for k in ("at", "n"))
+                at, n = (windows.values.field(k).to_numpy(zero_copy_only=False) for k in ("at", "n"))
                 begin, end = merged(at, n, length)
                 spans.append([{"start": int(a), "end": int(b)} for a, b in zip(begin, end, strict=True)])
                 edges = zip([0, *end], [*begin, len(data)], strict=True)
@@ -256,9 +305,9 @@ def remove_repeated(
 
         return step
 
-    inputs = {"text": F.col("__text"), "places": F.col("__places")}
+    inputs = {"text": F.col(content), "places": F.col(found)}
     fields = [T.StructField("removed", SPAN), T.StructField("kept", T.BinaryType())]
-    return attach(joined, inputs, fields, compute).drop("__text", "__places")
+    return attach(joined, inputs, fields, compute).drop(content, found)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
