@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docpipe.llm.common import kept
+from docpipe.llm.common import dropped, kept
 
 
 def _state(links: DataFrame) -> tuple:
@@ -36,7 +36,8 @@ def components(links: DataFrame) -> DataFrame:
         tied = larger.join(least, "u")
         smaller = tied.select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
         own = least.select("u", F.col("m").alias("v"))
-        links = kept(smaller.unionByName(own).distinct(), "links")
+        before, links = links, kept(smaller.unionByName(own).distinct(), "links")
+        dropped(before)
         now = _state(links)
         if now == state:
             break

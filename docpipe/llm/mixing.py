@@ -128,18 +128,20 @@ def fit(cells: DataFrame, targets: list[float], steps: int = STEPS, close: float
 def mix(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], steps: int = STEPS) -> DataFrame:
     """`docs` with `n_tokens`, `domain` (the likeliest), `rate` and `copies`.
 
-    `labelled` has `text` and `domain`; `targets` the share of tokens that each domain is to have
+    `labelled` has `doc_id` and `domain` of some rows of `docs`; `targets` the share of tokens that each domain is to have
     of as many tokens as there are. `rate` is how often a document should be used, 0 or more;
     `copies` rounds it up or down by a hash of the text, so that its mean is the rate. Domains
     without labelled rows drop out and the other targets are scaled up; without any all rates are 1
-    and domains null. Null texts are empty and get the rate of the priors. A null or unknown
+    and domains null. An id that `labelled` has twice counts with its least domain. Null texts are empty and get the rate of the priors. A null or unknown
     domain teaches nothing. Repeated rows get equal rates; every row stays, also at rate 0.
     Columns with the new names are replaced; empty tables stay empty. At most
     (GRID + 1) ** domains cells are possible; they are joined as a table, not as literals.
     """
     counts, cell = fresh(docs, "counts"), fresh(docs, "cell")
     features = kept(counted(docs, name=counts), "mixing-features")
-    model = classifier(counted(labelled.select("text", "domain")), list(targets))
+    known = labelled.groupBy("doc_id").agg(F.min("domain").alias("domain"))
+    taught = features.select("doc_id", F.col(counts).alias("counts")).join(known, "doc_id")
+    model = classifier(taught, list(targets))
     if not model:
         return features.drop(counts).withColumns(
             {"domain": F.lit(None).cast("string"), "rate": F.lit(1.0), "copies": F.lit(1)}
@@ -165,10 +167,10 @@ def mix(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], steps:
 
 
 def labelled_domains(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """`text` and `domain` of labelled documents: their language, or poor where the label says so."""
-    marks = labels.groupBy("doc_id").agg(F.min("quality").alias("__quality"))
-    domain = F.when(F.col("__quality") == 0, "poor").otherwise(F.col("lang"))
-    return docs.join(marks, "doc_id").select("text", domain.alias("domain"))
+    """`doc_id` and `domain` of labelled documents: their language, or poor where the label says so."""
+    marks = labels.groupBy("doc_id").agg(F.min("quality").alias("least"))
+    domain = F.when(F.col("least") == 0, "poor").otherwise(F.col("lang"))
+    return docs.select("doc_id", "lang").join(marks, "doc_id").select("doc_id", domain.alias("domain"))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

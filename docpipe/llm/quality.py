@@ -210,3 +210,80 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     measured = measure(table(spark, sf_dir, "documents"))
     more = ("base_failed", "nearest", "char_distance", "word_distance", "kept")
     return measured.select("doc_id", *MEASURES, *more)
+
+
+def oracle() -> str:
+    """The same in DuckDB. Histograms have a row for each place: classes, then frequent words."""
+    low, up = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    classes = ["a-z", "A-Z", "0-9", r"\x20\x09", r"\x0A-\x0D", ".,;:!?", '"' + "''()-", r"#*$%&|<>@=+~^_{}\[\]\\/`"]
+    counts = [f"len(regexp_replace(text, '[^{c}]', '', 'g'))" for c in classes]
+    counts.append("len(regexp_replace(text, '[^\\x00-\\x7F]', '', 'g')) - " + " - ".join(counts))
+    counts.append("len(regexp_replace(text, '[\\x00-\\x7F]', '', 'g'))")
+    words = ", ".join(f"('{w}', {N_CLASSES + k})" for k, w in enumerate(WORDS))
+    last = N_CLASSES + len(WORDS)
+    langs = ", ".join(f"'{x}'" for x in COMMON_WORDS)
+    blanks = "".join(f"chr({ord(c)}) || " for c in BLANKS) + "''"
+    return rf"""
+    WITH docs AS (
+      SELECT doc_id, lang, coalesce(text, '') AS text,
+        regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+    tokens AS (SELECT doc_id, unnest(ws) AS w, generate_subscripts(ws, 1) AS i FROM docs),
+    windows AS (
+      SELECT doc_id, i, w, lead(w) OVER d AS x, lead(w, 2) OVER d AS y FROM tokens
+      WINDOW d AS (PARTITION BY doc_id ORDER BY i)),
+    twice AS (
+      SELECT doc_id, i FROM (
+        SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, w, x, y) AS n FROM windows WHERE y IS NOT NULL)
+      WHERE n > 1),
+    covered AS (
+      SELECT doc_id, count(DISTINCT i + k) AS n_repeat_words FROM twice, range(3) r(k) GROUP BY doc_id),
+    split AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM docs),
+    dup AS (
+      SELECT doc_id, count(*) - count(DISTINCT line) AS n_dup_lines
+      FROM split WHERE trim(line, {blanks}) <> '' GROUP BY doc_id),
+    base AS (
+      SELECT doc_id, lang, text, len(ws) AS n_words,
+        CAST(coalesce(list_sum(list_transform(ws, lambda w: len(w))), 0) AS BIGINT) AS word_chars,
+        len(regexp_replace(text, '[^{SYMBOLS}]', '', 'g')) AS n_symbols,
+        coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words
+      FROM docs LEFT JOIN dup USING (doc_id) LEFT JOIN covered USING (doc_id)),
+    measured AS (
+      SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+        n_words >= {LEAST_WORDS} AND len(text) >= {LEAST_CHARS} AS compared FROM base),
+    common(word, place) AS (VALUES {words}),
+    known AS (
+      SELECT doc_id, coalesce(place, {last}) AS place, count(*) AS n
+      FROM tokens LEFT JOIN common
+        ON strlen(w) < 12 AND word = trim(translate(w, '{up}', '{low}'), '.,;:!?"''()')
+      GROUP BY ALL),
+    classed AS (
+      SELECT doc_id, unnest([{", ".join(counts)}]) AS n, unnest(range({N_CLASSES})) AS place
+      FROM measured WHERE compared),
+    every AS (
+      SELECT doc_id, lang, place FROM measured, range({last + 1}) r(place) WHERE compared),
+    filled AS (
+      SELECT doc_id, lang, place, place < {N_CLASSES} AS is_char, CAST(coalesce(c.n, k.n, 0) AS BIGINT) AS n
+      FROM every LEFT JOIN classed c USING (doc_id, place) LEFT JOIN known k USING (doc_id, place)),
+    shares AS (
+      SELECT *, sum(n) OVER (PARTITION BY doc_id, is_char) AS total FROM filled),
+    sums AS (
+      SELECT lang, place, is_char, CAST(sum(n * {UNIT} // CAST(total AS BIGINT)) AS DOUBLE) AS v
+      FROM shares WHERE lang IN ({langs}) GROUP BY ALL),
+    refs AS (
+      SELECT lang AS near, place, v / sum(v) OVER (PARTITION BY lang, is_char) AS r FROM sums),
+    terms AS (
+      SELECT doc_id, near, is_char, n / total AS p, r, (n / total + r) / 2 AS m
+      FROM shares JOIN refs USING (place)),
+    distances AS (
+      SELECT doc_id, near, is_char,
+        sqrt(greatest(0, (sum(CASE WHEN p > 0 THEN p * log2(p / m) ELSE 0 END)
+          + sum(CASE WHEN r > 0 THEN r * log2(r / m) ELSE 0 END)) / 2)) AS d
+      FROM terms GROUP BY ALL),
+    nearest AS (
+      SELECT doc_id, near, max(d) FILTER (is_char) AS c, max(d) FILTER (NOT is_char) AS w
+      FROM distances GROUP BY doc_id, near
+      QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY round(c + w, 9), near) = 1)
+    SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+      near AS nearest, round(c, 6) AS char_distance, round(w, 6) AS word_distance,
+      NOT base_failed AND (near IS NULL OR (round(c, 6) <= {MOST_CHARS} AND round(w, 6) <= {MOST_WORDS})) AS kept
+    FROM measured LEFT JOIN nearest USING (doc_id)"""

@@ -32,4 +32,9 @@ def queries() -> dict[str, Callable]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_url_filter": url_filter.oracle(), "op5_chat_trees": chat_trees.oracle()}
+    return {
+        "op1_url_filter": url_filter.oracle(),
+        "op2_quality": quality.oracle(),
+        "op4_parity_join": parity_join.oracle(),
+        "op5_chat_trees": chat_trees.oracle(),
+    }

@@ -5,7 +5,7 @@ import pytest
 
 from docpipe.llm import mixing as mx
 
-SCHEMA = "text string, domain string"
+SCHEMA = "doc_id long, domain string"
 SAMPLES = {"en": "the thing and this other thing with nothing", "de": "ich möchte für die Größe", "es": "mañana está aquí el niño"}
 
 
@@ -14,21 +14,30 @@ def corpus(n=90, seed=1):
     return [" ".join(rng.choices(SAMPLES[k].split(), k=rng.randint(5, 60))) for k in rng.choices(list(SAMPLES), weights=(6, 3, 1), k=n)]
 
 
+#: Texts of labelled documents, with ids from 1000 on.
+TAUGHT = [v * 3 for v in SAMPLES.values()] + [None, "x", "x"]
+
+
 def labelled(spark):
-    return spark.createDataFrame([(v * 3, k) for k, v in SAMPLES.items()] + [(None, "en"), ("x", None), ("x", "zz")], SCHEMA)
+    domains = [*SAMPLES, "en", None, "zz"]
+    rows = [(1000 + k, d) for k, d in enumerate(domains)] + [(None, "en"), (5000, "en"), (1000, "en")]
+    return spark.createDataFrame(rows, SCHEMA)
 
 
 def test_expected_tokens_are_the_targets(spark, make_docs):
     texts = corpus()
     targets = {"en": 0.3, "de": 0.3, "es": 0.4, "absent": 0.5}
-    docs = make_docs([*texts, None, "", "the " * 100_000], clash=True)
+    texts += [None, "", "the " * 100_000]
+    docs = make_docs(texts + TAUGHT, [*range(len(texts)), *range(1000, 1000 + len(TAUGHT))], clash=True)
     rows = mx.mix(docs, labelled(spark), targets, 300)
     assert len(set(rows.columns)) == len(rows.columns)
     rows = rows.collect()
-    assert len(rows) == len(texts) + 3 and all(r.rate >= 0 for r in rows)
+    assert len(rows) == len(texts) + len(TAUGHT) and all(r.rate >= 0 for r in rows)
     assert all(abs(r.copies - r.rate) < 1 for r in rows)
     # the cells again, in NumPy, from the rates alone
-    model = mx.classifier(mx.counted(labelled(spark)), list(targets))
+    known = labelled(spark).where("domain <> 'zz' or doc_id <> 1000")
+    taught = mx.counted(docs.select("doc_id", "text")).join(known, "doc_id")
+    model = mx.classifier(taught, list(targets))
     assert [m[0] for m in model] == ["de", "en", "es"]
     cells = mx.counted(docs.select("doc_id", "text")).withColumn("cell", mx.posterior(model, mx.F.col("counts"))).collect()
     p = {r.doc_id: np.array(r.cell) / sum(r.cell) for r in cells}
@@ -70,7 +79,7 @@ def test_query(spark, make_docs, sf_dir):
 
 @pytest.mark.parametrize("domain", [None, "zz"])
 def test_nothing_labelled(spark, make_docs, domain):
-    label = spark.createDataFrame([("a b", domain)], SCHEMA)
+    label = spark.createDataFrame([(1, domain)], SCHEMA)
     rows = mx.mix(make_docs(["a", None, "a"], [1, 1, None]), label, {"en": 1.0}).collect()
     assert {(r.rate, r.copies, r.domain) for r in rows} == {(1.0, 1, None)}
     assert mx.mix(make_docs([]), labelled(spark), {"en": 1.0}).collect() == []

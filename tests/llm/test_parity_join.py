@@ -56,8 +56,9 @@ def test_groups_equal_all_pairs(spark, make_docs, size, percent):
 
 
 def test_all_rounds_are_needed(spark, make_docs, monkeypatch):
-    """With one leader a round, links that the first leader lacks are found in later rounds."""
-    monkeypatch.setattr(pj, "LEADERS", (1, 2, float("inf")))
+    """Links that the leaders lack are found between tiles of a few sets."""
+    monkeypatch.setattr(pj, "LEADERS", 1)
+    monkeypatch.setattr(pj, "TILE", 3)
     texts = corpus(7, families=2, copies=30)
     got = {r.doc_id: r.component_id for r in pj.similar_groups(make_docs(texts), 3, 90).collect()}
     assert [got[k] for k in range(len(texts))] == [g for _, g in brute(texts, 3, 90)]
