@@ -12,6 +12,8 @@ a phrase that occurs twice repeats as a whole, and where one trigger has differe
 dictionary's windows are compared one by one. Most triggers of a corpus occur once and end there.
 """
 
+import functools
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -38,6 +40,8 @@ TRIGGER = 56
 
 #: Windows that are compared together before they are compared one by one.
 TOGETHER = 8
+#: Phrases that share a trigger are compared in so many turns, so that what is written stays small.
+TURNS = 2
 
 KEY = ["ka", "kb"]
 
@@ -231,9 +235,23 @@ def repeated(docs: DataFrame, length: int = LENGTH, trigger: int = TRIGGER) -> D
     mixed = kinds.groupBy("g").agg(F.count("*").alias("kinds")).where("kinds > 1").select("g")
     alone = (F.col("times") == 1).alias("alone")
     chosen = kinds.join(mixed, "g").select("g", "s", F.col("least").alias("ka"), alone)
-    chosen = hits.drop("times").join(chosen, ["g", "s", "ka"])
-    # A phrase has no window twice, so a window is elsewhere too if two phrases have it. Runs of
-    # windows whose bytes two phrases have are settled; so are those whose core just one has.
+    chosen = kept(hits.drop("times").join(chosen, ["g", "s", "ka"]), "mixed-phrases")
+    settled = [kept(whole, "repeated-places")]
+    dropped(hits, kinds)
+    for turn in range(TURNS):
+        part = chosen.where(F.pmod("g", F.lit(TURNS)) == turn)
+        settled.append(_shared_windows(docs, part, length, trigger))
+    dropped(chosen)
+    return functools.reduce(DataFrame.unionByName, settled)
+
+
+def _shared_windows(docs: DataFrame, chosen: DataFrame, length: int, trigger: int) -> DataFrame:
+    """Windows of phrases that occur once (`alone`) which another phrase of their trigger has too.
+
+    A phrase has no window twice, so a window is elsewhere if two phrases have it. Runs of windows
+    whose bytes two phrases have are settled; so are those whose core just one has.
+    """
+    n = F.shiftright("shape", 16).alias("n")
     runs = kept(_cuts(docs, chosen, length, trigger, TOGETHER), "window-runs")
     same = _shared(runs.where("outer is not null"), "outer").withColumn("same", F.lit(True))
     near = runs.join(_shared(runs, "core"), ["g", "j", "core"]).join(same, ["g", "j", "outer"], "left")
@@ -242,10 +260,12 @@ def repeated(docs: DataFrame, length: int = LENGTH, trigger: int = TRIGGER) -> D
     several = near.where("same and alone").select(*KEY, "at", n)
     unsettled = near.where("same is null and alone").select("g", "j", "core").distinct()
     rest = near.join(unsettled, ["g", "j", "core"], "left_semi").select(*KEY, "g", "s", "at", "shape", "alone")
-    single = _cuts(docs, rest, length, trigger, 1).drop("core", "shape").withColumn("n", F.lit(1).cast("long"))
-    single = kept(single, "windows")
-    single = single.where("alone").join(_shared(single, "outer"), ["g", "j", "outer"]).select(*KEY, "at", "n")
-    return whole.unionByName(several).unionByName(single)
+    windows = _cuts(docs, rest, length, trigger, 1).drop("core", "shape")
+    windows = kept(windows.withColumn("n", F.lit(1).cast("long")), "windows")
+    single = windows.where("alone").join(_shared(windows, "outer"), ["g", "j", "outer"])
+    places = kept(several.unionByName(single.select(*KEY, "at", "n")), "shared-windows")
+    dropped(near, windows)
+    return places
 
 
 SPAN = T.ArrayType(
