@@ -46,7 +46,8 @@ def corpus(seed=1, families=6, copies=14):
 
 
 @pytest.mark.parametrize(("size", "percent"), [(3, 90), (5, 80)])
-def test_groups_equal_all_pairs(spark, make_docs, size, percent):
+def test_groups_equal_all_pairs(spark, make_docs, monkeypatch, size, percent):
+    monkeypatch.setattr(pj, "LARGE", 100)
     texts = corpus()
     got = {r.doc_id: r for r in pj.similar_groups(make_docs(texts, clash=True), size, percent).collect()}
     want = brute(texts, size, percent)
