@@ -7,6 +7,7 @@ left are compared with the item by exact similarity of weighted shingles. Simila
 a common shingle, so only windows around places that have a shingle of some item are looked at.
 """
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -42,11 +43,46 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
 
+class Letters:
+    """Texts in lower case, with blanks for what is not in words of `\\w+`."""
+
+    def __init__(self):
+        points = np.arange(0x110000, dtype="<u4")
+        points = points[(points < 0xD800) | (points > 0xDFFF)]
+        self.word = np.zeros(0x110000, bool)
+        for run in re.finditer(r"\w+", points.tobytes().decode("utf-32-le")):
+            self.word[points[run.start() : run.end()]] = True
+
+    def fold(self, raw: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Texts, and where they start, of which `split_words` makes the words of `\\w+` of text.lower()."""
+        if not (raw[starts[0] : starts[-1]] >= 0x80).any():
+            return raw, starts
+        texts = [raw[a:b].tobytes() for a, b in zip(starts[:-1], starts[1:], strict=True)]
+        texts = [t if t.isascii() else t.decode("utf-8", "replace").lower().encode() for t in texts]
+        data = np.frombuffer(bytearray(b"".join(texts)), np.uint8)
+        # a piece at a time, as in `split_words`
+        for begin in range(0, len(data), STEP_BYTES):
+            lead = np.flatnonzero(data[begin : begin + STEP_BYTES] >= 0xC0) + begin
+            length = 2 + (data[lead] >= 0xE0) + (data[lead] >= 0xF0)
+            for size in (2, 3, 4):
+                at = lead[length == size]
+                point = data[at].astype(np.uint32) & np.uint32(0x7F >> size)
+                for k in range(1, size):
+                    point = point << np.uint32(6) | (data[at + k] & np.uint8(0x3F))
+                word = self.word[point]
+                for k in range(size):
+                    data[at[~word] + k] = 0x20
+                # words may have some of U+0080 to U+00BF: those become marks that are blanks above
+                data[at[word & (point < 0xC0)]] = 0xCC
+        return data, np.cumsum([0, *map(len, texts)])
+
+
 def split_words(rolling: Rolling, raw: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The hash of each word of some texts, and the number of its text.
 
     Words are runs of ASCII letters (A-Z as a-z), digits, underscores and characters from U+00C0
     on without the marks from U+2000 to U+203F. `raw` is UTF-8, `starts` where texts start in it.
+    Of texts that `Letters.fold` made, these are the words of `\\w+`.
     """
     data = _LOWER[raw[starts[0] : starts[-1]]]
     inside = _IN_WORD[data]
@@ -73,9 +109,9 @@ def split_words(rolling: Rolling, raw: np.ndarray, starts: np.ndarray) -> tuple[
     return hashes, np.searchsorted(starts - starts[0], begin, "right") - 1
 
 
-def words_of(text: str, rolling: Rolling) -> np.ndarray:
-    raw = np.frombuffer(text.encode(), np.uint8)
-    return split_words(rolling, raw, np.array([0, len(raw)]))[0]
+def words_of(text: str, rolling: Rolling, letters: Letters | None = None) -> np.ndarray:
+    raw = np.frombuffer(text.encode("utf-8", "replace"), np.uint8)
+    return split_words(rolling, *(letters or Letters()).fold(raw, np.array([0, len(raw)])))[0]
 
 
 def fingerprints(shingles: np.ndarray, weights: np.ndarray, size: int) -> np.ndarray:
@@ -115,12 +151,12 @@ class HammingIndex:
 class Items:
     """A block of benchmark items, by their number of words."""
 
-    def __init__(self, items: list[tuple[int, str]]):
+    def __init__(self, items: list[tuple[int, str]], letters: Letters):
         rolling = Rolling()
         self.sizes: dict[int, list] = {}
         sets = []
         for item_id, text in items:
-            words = words_of(text, rolling)
+            words = words_of(text, rolling, letters)
             if len(words):
                 sets.append((item_id, len(words), shingle_hashes(words, SHINGLE)))
         together = [np.unique(s) for _, _, s in sets] or [np.empty(0, np.uint64)]
@@ -222,13 +258,14 @@ _LEAKS_ARROW = pa.list_(
 
 def _with_block(docs: DataFrame, items: list[tuple[int, str]], name: str) -> DataFrame:
     def compute():
-        block, rolling = Items(items), Rolling()
+        rolling, letters = Rolling(), Letters()
+        block = Items(items, letters)
 
         def step(batch: pa.RecordBatch) -> list:
             raw, starts = text_bytes(batch.column(0))
             out: list[list[dict]] = [[] for _ in range(batch.num_rows)]
             for first, last in steps(starts):
-                words, owner = split_words(rolling, raw, starts[first : last + 1])
+                words, owner = split_words(rolling, *letters.fold(raw, starts[first : last + 1]))
                 for row in block.touched(words, owner):
                     own = slice(*np.searchsorted(owner, [row, row + 1]))
                     found = sorted(block.leaks(words[own]))
@@ -247,7 +284,7 @@ def find_leaks(
 ) -> DataFrame:
     """`docs` with `leaks`, or another `name`: for each benchmark item found its best window and similarity.
 
-    Words are those of `split_words`; shingles have five words, and a shorter item is one shingle. An
+    Words are `\\w+` in lower case, by Unicode; shingles have five words, and a shorter item is one shingle. An
     item is found if a window of its number of words has a fingerprint within RADIUS bits and a
     weighted Jaccard similarity of LEAST or more. Ties go to the first window. Texts are read
     whole; null texts and items, and those without words, match nothing; nor do items with null
