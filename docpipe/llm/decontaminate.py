@@ -5,6 +5,12 @@ its shingles add to 64 counters; fingerprints within RADIUS bits of the item's a
 index of their eight bytes, since one byte then differs in at most RADIUS // 8 bits; the windows
 left are compared with the item by exact similarity of weighted shingles. Similarity is 0 without
 a common shingle, so only windows around places that have a shingle of some item are looked at.
+
+A shingle of an item weighs one over the number of different item texts of the whole benchmark that
+have it, so repeats of a text take no weight from it. Shingles that the item has not weigh as much as
+its own on the mean, so an edit of what many items share counts no more than elsewhere. Fingerprints
+have no weights: they and the similarity to an item depend on nothing but the two texts and these
+numbers, and not on the block that the item is in.
 """
 
 import re
@@ -12,7 +18,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+import xxhash
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,7 +27,10 @@ from docpipe.llm.common import (
     STEP_BYTES,
     Rolling,
     attach,
+    dropped,
+    emit,
     fresh,
+    kept,
     shingle_hashes,
     steps,
     table,
@@ -151,7 +161,7 @@ class HammingIndex:
 class Items:
     """A block of benchmark items, by their number of words."""
 
-    def __init__(self, items: list[tuple[int, str]], letters: Letters):
+    def __init__(self, items: list[tuple[int, str]], shared: dict[int, int], letters: Letters):
         rolling = Rolling()
         self.sizes: dict[int, list] = {}
         sets = []
@@ -161,8 +171,8 @@ class Items:
                 sets.append((item_id, len(words), shingle_hashes(words, SHINGLE)))
         together = [np.unique(s) for _, _, s in sets] or [np.empty(0, np.uint64)]
         # a shingle of many items says less: it weighs one over their number
-        self.known, count = np.unique(np.concatenate(together), return_counts=True)
-        self.weight = 1 / count
+        self.known = np.unique(np.concatenate(together))
+        self.weight = 1 / np.array([shared.get(s, 1) for s in self.known.tolist()], float)
         self.owners: dict[int, set[int]] = {}
         for item_id, size, shingles in sets:
             self.sizes.setdefault(size, []).append((item_id, shingles))
@@ -170,7 +180,7 @@ class Items:
                 self.owners.setdefault(int(s), set()).add(size)
         self.index = {}
         for size, members in self.sizes.items():
-            prints = [fingerprints(s, self.weights(s), len(s))[0] for _, s in members]
+            prints = [fingerprints(s, np.ones(len(s)), len(s))[0] for _, s in members]
             self.index[size] = HammingIndex(np.array(prints, np.uint64))
         #: Shingles of short items are shorter.
         self.lengths = sorted({min(size, SHINGLE) for size in self.sizes})
@@ -178,13 +188,6 @@ class Items:
         self.bits = np.zeros(1 << 22, bool)
         self.bits[(self.known & np.uint64((1 << 22) - 1)).astype(np.int64)] = True
 
-    def weights(self, shingles: np.ndarray) -> np.ndarray:
-        """Of shingles that no item has: 1."""
-        if not len(self.known):
-            return np.ones(len(shingles))
-        at = np.minimum(np.searchsorted(self.known, shingles), len(self.known) - 1)
-        return np.where(self.known[at] == shingles, self.weight[at], 1.0)
-
     def places(self, shingles: np.ndarray) -> np.ndarray:
         """Where a shingle of any item stands."""
         at = np.flatnonzero(self.bits[(shingles & np.uint64((1 << 22) - 1)).astype(np.int64)])
@@ -200,12 +203,17 @@ class Items:
         return np.unique(np.concatenate(rows))
 
     def similarity(self, a: np.ndarray, b: np.ndarray) -> float:
-        """Weighted Jaccard of two bags of shingles."""
+        """Weighted Jaccard of two bags of shingles, those of a window and of an item."""
         names, inverse = np.unique(np.concatenate([a, b]), return_inverse=True)
         in_a = np.bincount(inverse[: len(a)], minlength=len(names))
         in_b = np.bincount(inverse[len(a) :], minlength=len(names))
-        weights = self.weights(names)
-        return float((np.minimum(in_a, in_b) * weights).sum() / (np.maximum(in_a, in_b) * weights).sum())
+        own = in_b > 0
+        weights = np.empty(len(names))
+        weights[own] = self.weight[np.searchsorted(self.known, names[own])]
+        weights[~own] = (weights[own] * in_b[own]).sum() / len(b)
+        likeness = (np.minimum(in_a, in_b) * weights).sum() / (np.maximum(in_a, in_b) * weights).sum()
+        # equal ones must not differ by rounding
+        return round(float(likeness), 12)
 
     def leaks(self, words: np.ndarray) -> Iterator[tuple[int, int, int, float]]:
         """Item, first word, number of words and similarity of the best window of each item found."""
@@ -232,7 +240,7 @@ class Items:
         # runs of windows that overlap share their sums
         for run in np.split(begins, np.flatnonzero(np.diff(begins) > 1) + 1):
             part = shingles[run[0] : run[-1] + span]
-            for begin, value in zip(run, fingerprints(part, self.weights(part), span), strict=True):
+            for begin, value in zip(run, fingerprints(part, np.ones(len(part)), span), strict=True):
                 for k in index.within(value):
                     likeness = self.similarity(shingles[begin : begin + span], members[k][1])
                     if likeness >= LEAST and likeness > best.get(k, (0.0, 0))[0]:
@@ -256,10 +264,34 @@ _LEAKS_ARROW = pa.list_(
 )
 
 
-def _with_block(docs: DataFrame, items: list[tuple[int, str]], name: str) -> DataFrame:
+def _shared(items: DataFrame, own: Column) -> DataFrame:
+    """Shingles of more than one item text: the number `n` of those texts, and the blocks `parts` that have it."""
+
+    def compute():
+        rolling, letters = Rolling(), Letters()
+
+        def step(batch: pa.RecordBatch) -> Iterator[dict]:
+            for part, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                words = words_of(text, rolling, letters)
+                names = np.unique(shingle_hashes(words, SHINGLE)).view(np.int64)
+                item = np.full(len(names), xxhash.xxh3_64_intdigest(words.tobytes()), np.uint64)
+                yield {
+                    "part": np.full(len(names), part, np.int32),
+                    "item": item.view(np.int64),
+                    "shingle": names,
+                }
+
+        return step
+
+    rows = emit(items.select(own.cast("int"), "text"), "part int, item long, shingle long", compute)
+    counts = rows.groupBy("shingle").agg(F.count_distinct("item").alias("n"), F.collect_set("part").alias("parts"))
+    return counts.where(F.col("n") > 1)
+
+
+def _with_block(docs: DataFrame, items: list[tuple[int, str]], shared: dict[int, int], name: str) -> DataFrame:
     def compute():
         rolling, letters = Rolling(), Letters()
-        block = Items(items, letters)
+        block = Items(items, shared, letters)
 
         def step(batch: pa.RecordBatch) -> list:
             raw, starts = text_bytes(batch.column(0))
@@ -289,7 +321,7 @@ def find_leaks(
     weighted Jaccard similarity of LEAST or more. Ties go to the first window. Texts are read
     whole; null texts and items, and those without words, match nothing; nor do items with null
     ids. An item that is there twice is found twice. Items are broadcast in blocks of about `block`
-    rows, chosen by hash, each with a pass of its own. A column of `docs` with that
+    rows, chosen by hash, each with a pass of its own; blocks do not change what is found. A column of `docs` with that
     name is replaced;
     an empty table stays empty, and an empty benchmark finds nothing.
     """
@@ -298,11 +330,15 @@ def find_leaks(
     blocks = max(1, -(-items.count() // block))
     own = F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks))
     names = [fresh(docs, f"part{k}") for k in range(blocks)]
+    counts = kept(_shared(items, own), "shared-shingles")
     for k, part in enumerate(names):
         rows = items.where(own == k).collect() if blocks > 1 else items.collect()
-        docs = _with_block(docs, sorted((r["item_id"], r["text"]) for r in rows), part)
-    kept = [c for c in docs.columns if c not in names and c.lower() != name.lower()]
-    return docs.select(*[F.col(f"`{c}`") for c in kept], F.array_sort(F.concat(*names)).alias(name))
+        some = counts.where(F.array_contains("parts", k)).select("shingle", "n").collect()
+        shared = {r["shingle"] % (1 << 64): r["n"] for r in some}
+        docs = _with_block(docs, sorted((r["item_id"], r["text"]) for r in rows), shared, part)
+    dropped(counts)
+    rest = [c for c in docs.columns if c not in names and c.lower() != name.lower()]
+    return docs.select(*[F.col(f"`{c}`") for c in rest], F.array_sort(F.concat(*names)).alias(name))
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -163,3 +163,51 @@ def test_items_in_other_case_and_between_marks(spark, make_docs):
     bench = spark.createDataFrame([(1, item)], "item_id long, text string")
     got = dc.find_leaks(make_docs(texts), bench).collect()
     assert [[(x.item_id, x.similarity) for x in r.leaks] for r in got] == [[(1, 1.0)]] * len(texts)
+
+
+def weighted(text, items):
+    """As `brute`, with weights by different texts of items, and the mean of the item's for shingles it has not."""
+    def bag(words, size):
+        return Counter(tuple(words[k : k + size]) for k in range(len(words) - size + 1))
+
+    split = [re.findall(r"\w+", (t or "").lower()) for t in items]
+    weight = Counter()
+    for words in {tuple(s) for s in split if s}:
+        weight.update(set(bag(words, min(5, len(words)))))
+    words = re.findall(r"\w+", (text or "").lower())
+    found = {}
+    for number, item in enumerate(split):
+        size, want = min(5, len(item)), bag(item, min(5, len(item)))
+        mean = sum(n / weight[x] for x, n in want.items()) / max(1, want.total())
+        for k in range(len(words) - len(item) + 1 if item else 0):
+            have = bag(words[k : k + len(item)], size)
+            w = {x: 1 / weight[x] if x in want else mean for x in set(want) | set(have)}
+            likeness = sum(min(want[x], have[x]) * w[x] for x in w) / sum(max(want[x], have[x]) * w[x] for x in w)
+            if likeness >= 0.8 and likeness > found.get(number, (0, 0))[0] + 1e-12:
+                found[number] = (likeness, k)
+    return {n: (k, len(split[n]), round(v, 9)) for n, (v, k) in found.items()}
+
+
+def test_repeats_templates_and_blocks(spark, make_docs):
+    rng = random.Random(5)
+    prose = lambda n: rng.choices(WORDS, k=n)
+    frame = prose(48)
+    items = [prose(60)] * 2 + [prose(200)] * 10 + [prose(6) + frame + prose(6) for _ in range(5)]
+    items += [prose(rng.randint(20, 50)) for _ in range(3)]
+    texts, firsts = [], [k for k, item in enumerate(items) if item not in items[:k]]
+    for item in (items[k] for k in firsts):
+        for places in ((), (len(item) // 2,), (0, len(item) // 2), (3, 15)):
+            text = list(item)
+            for place in places:
+                text[place] = "other"
+            texts.append(" ".join(prose(rng.randint(0, 9)) + text + prose(rng.randint(0, 9))))
+    items = [" ".join(i) for i in items]
+    items[1] = items[1].upper()
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    want = [weighted(t, items) for t in texts]
+    for block in (50_000, 7):
+        rows = dc.find_leaks(make_docs(texts), bench, block).collect()
+        got = {r.doc_id: {x.item_id: (x.start, x.n_words, round(x.similarity, 9)) for x in r.leaks} for r in rows}
+        assert [got[k] for k in range(len(texts))] == want
+    # one word replaced in the middle of 60 or 200; shorter items may fall under the limit
+    assert [k for place, k in enumerate(firsts) if k < 17 and k not in got[4 * place + 1]] == []
