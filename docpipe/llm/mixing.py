@@ -130,7 +130,8 @@ def mix(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], steps:
 
     `labelled` has `doc_id` and `domain` of some rows of `docs`; `targets` the share of tokens that each domain is to have
     of as many tokens as there are. `rate` is how often a document should be used, 0 or more;
-    `copies` rounds it up or down by a hash of the text, so that its mean is the rate. Domains
+    `copies` rounds it up or down by a hash of id and text, so that its mean is the rate, over rows of
+    equal texts too; only rows that have both the same are rounded alike. Domains
     without labelled rows drop out and the other targets are scaled up; without any all rates are 1
     and domains null. An id that `labelled` has twice counts with its least domain. Null texts are empty and get the rate of the priors. A null or unknown
     domain teaches nothing. Repeated rows get equal rates; every row stays, also at rate 0.
@@ -159,7 +160,7 @@ def mix(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], steps:
     place = F.array_position(cell, F.array_max(cell)).cast("int")
     # a cell may hold most documents; its rate is one short row
     joined = celled.drop("rate").join(rated, cell)
-    uniform = F.pmod(F.xxhash64(text_of(), F.lit("copies")), F.lit(1 << 30)) / float(1 << 30)
+    uniform = F.pmod(F.xxhash64("doc_id", text_of(), F.lit("copies")), F.lit(1 << 30)) / float(1 << 30)
     up = F.when(uniform < F.col("rate") - F.floor("rate"), 1).otherwise(0)
     return joined.withColumns(
         {"domain": F.element_at(names, place), "copies": (F.floor("rate") + up).cast("int")}

@@ -83,3 +83,16 @@ def test_nothing_labelled(spark, make_docs, domain):
     rows = mx.mix(make_docs(["a", None, "a"], [1, 1, None]), label, {"en": 1.0}).collect()
     assert {(r.rate, r.copies, r.domain) for r in rows} == {(1.0, 1, None)}
     assert mx.mix(make_docs([]), labelled(spark), {"en": 1.0}).collect() == []
+
+
+def test_copies_of_equal_texts_have_their_rate_as_mean(spark, make_docs):
+    texts = [SAMPLES["en"]] * 2000 + [SAMPLES["de"]] * 1000
+    label = spark.createDataFrame([(0, "en"), (2000, "de")], SCHEMA)
+    rows = mx.mix(make_docs(texts), label, {"en": 0.45, "de": 0.55}).collect()
+    again = mx.mix(make_docs(texts), label, {"en": 0.45, "de": 0.55}).collect()
+    assert {r.doc_id: r.copies for r in rows} == {r.doc_id: r.copies for r in again}
+    for text in set(texts):
+        group = [r for r in rows if r.text == text]
+        rate, = {r.rate for r in group}
+        assert 0.1 < rate % 1 < 0.9
+        assert abs(sum(r.copies for r in group) / len(group) - rate) < 0.05
