@@ -1,6 +1,6 @@
 """Operator 6: benchmark items found in documents by SimHash fingerprints of windows of their size.
 
-A window of a document has as many words as the item. Its fingerprint is the sign of the sums that
+A window of a document has as many words as the item, or is the whole of a shorter document. Its fingerprint is the sign of the sums that
 its shingles add to 64 counters; fingerprints within RADIUS bits of the item's are found by an
 index of their eight bytes, since one byte then differs in at most RADIUS // 8 bits; the windows
 left are compared with the item by exact similarity of weighted shingles. Similarity is 0 without
@@ -225,15 +225,17 @@ class Items:
             by_size: dict[int, set[int]] = {}
             for place in places:
                 for size in self.owners[int(shingles[place])]:
-                    if min(size, SHINGLE) == length and size <= len(words):
-                        span = size - length
-                        first = max(0, int(place) - span)
-                        last = min(int(place), len(words) - size)
+                    if min(size, SHINGLE) == length:
+                        # a text with fewer words than the item is one window
+                        n_words = min(size, len(words))
+                        first = max(0, int(place) - n_words + length)
+                        last = min(int(place), len(words) - n_words)
                         by_size.setdefault(size, set()).update(range(first, last + 1))
             for size, begins in by_size.items():
-                yield from self._windows(shingles, size, size - length + 1, sorted(begins))
+                n_words = min(size, len(words))
+                yield from self._windows(shingles, size, n_words, n_words - length + 1, sorted(begins))
 
-    def _windows(self, shingles: np.ndarray, size: int, span: int, begins: list[int]):
+    def _windows(self, shingles: np.ndarray, size: int, n_words: int, span: int, begins: list[int]):
         best: dict[int, tuple[float, int]] = {}
         index, members = self.index[size], self.sizes[size]
         begins = np.array(begins)
@@ -246,7 +248,7 @@ class Items:
                     if likeness >= LEAST and likeness > best.get(k, (0.0, 0))[0]:
                         best[k] = (likeness, int(begin))
         for k, (likeness, begin) in best.items():
-            yield members[k][0], begin, size, likeness
+            yield members[k][0], begin, n_words, likeness
 
 
 LEAKS = T.ArrayType(
@@ -317,7 +319,7 @@ def find_leaks(
     """`docs` with `leaks`, or another `name`: for each benchmark item found its best window and similarity.
 
     Words are `\\w+` in lower case, by Unicode; shingles have five words, and a shorter item is one shingle. An
-    item is found if a window of its number of words has a fingerprint within RADIUS bits and a
+    item is found if a window of its number of words, or a document with fewer words, has a fingerprint within RADIUS bits and a
     weighted Jaccard similarity of LEAST or more. Ties go to the first window. Texts are read
     whole; null texts and items, and those without words, match nothing; nor do items with null
     ids. An item that is there twice is found twice. Items are broadcast in blocks of about `block`

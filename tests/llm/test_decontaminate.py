@@ -211,3 +211,13 @@ def test_repeats_templates_and_blocks(spark, make_docs):
         assert [got[k] for k in range(len(texts))] == want
     # one word replaced in the middle of 60 or 200; shorter items may fall under the limit
     assert [k for place, k in enumerate(firsts) if k < 17 and k not in got[4 * place + 1]] == []
+
+
+def test_documents_shorter_than_the_item(spark, make_docs):
+    words = [f"v{k}" for k in range(40)]
+    texts = [" ".join(words[a:b]) for a, b in ((0, 39), (1, 40), (3, 38), (0, 20), (0, 4), (0, 0))]
+    bench = spark.createDataFrame([(1, " ".join(words)), (2, "u0 u1 u2 u3 u4 u5")], "item_id long, text string")
+    rows = sorted(dc.find_leaks(make_docs(texts), bench).collect(), key=lambda r: r.doc_id)
+    got = [[(x.start, x.n_words, round(x.similarity, 9)) for x in r.leaks if x.item_id == 1] for r in rows]
+    assert got == [[(0, 39, round(35 / 36, 9))], [(0, 39, round(35 / 36, 9))], [(0, 35, round(31 / 36, 9))], [], [], []]
+    assert {x.item_id for r in rows for x in r.leaks} == {1}
