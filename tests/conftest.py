@@ -33,7 +33,3 @@ def db(spark):
     name = f"t_{uuid.uuid4().hex[:12]}"
     spark.sql(f"CREATE DATABASE {name}")
     return name
-
-
-def plan_of(df) -> str:
-    return df._jdf.queryExecution().executedPlan().toString()

@@ -2,7 +2,7 @@ import json
 from datetime import datetime
 
 import pytest
-from conftest import plan_of
+from helpers import plan_of
 from pyspark.sql import functions as F
 
 from docpipe import schemas
