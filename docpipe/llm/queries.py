@@ -5,8 +5,11 @@ from collections.abc import Callable
 from docpipe.llm import (
     chat_trees,
     decontaminate,
+    fill_middle,
+    merkle,
     mixing,
     parity_join,
+    permutation,
     quality,
     secrets,
     substrings,
@@ -28,6 +31,9 @@ def queries() -> dict[str, Callable]:
         "op8_token_counts": tokens.query,
         "op9_substrings": substrings.query,
         "op10_secrets": secrets.query,
+        "op11_merkle": merkle.query,
+        "op12_fill_middle": fill_middle.query,
+        "op13_permutation": permutation.query,
     }
 
 
@@ -37,4 +43,6 @@ def oracle_sql() -> dict[str, str]:
         "op2_quality": quality.oracle(),
         "op4_parity_join": parity_join.oracle(),
         "op5_chat_trees": chat_trees.oracle(),
+        "op11_merkle": merkle.oracle(),
+        "op12_fill_middle": fill_middle.oracle(),
     }

@@ -14,7 +14,7 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test data"
 
 
 def test_one_query_for_each_operator():
-    assert [name.split("_")[0] for name in queries.queries()] == [f"op{n}" for n in range(1, 11)]
+    assert [name.split("_")[0] for name in queries.queries()] == [f"op{n}" for n in range(1, 14)]
     assert set(queries.oracle_sql()) <= set(queries.queries())
 
 
