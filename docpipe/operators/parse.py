@@ -113,9 +113,9 @@ def to_json(elements: Column) -> Column:
 
 
 def to_parsed_docs(files: DataFrame) -> DataFrame:
-    """Files (path, content) → rows of the parsed table."""
+    """Files (path, content) → rows of the parsed table; paths are the registry's."""
     return files.select(
-        "path",
+        norm_path(F.col("path")).alias("path"),
         to_json(html_elements(html_text(F.col("content")))).alias("parsed_content"),
         F.current_timestamp().alias("processed"),
     )
@@ -137,10 +137,12 @@ def to_markdown(elements: Column) -> Column:
 def append_parsed(parsed: DataFrame, table: str) -> None:
     """Append the documents that the table does not hold, one row for each path.
 
-    So a rerun adds nothing. Of rows with one path the latest stays.
+    So a rerun adds nothing. Of rows with one path the latest stays. Paths are written without
+    `dbfs:`, as the registry's are.
     """
     doc_path = norm_path(F.col("path")).alias("doc_path")
     held = parsed.sparkSession.table(table).select(norm_path(F.col("path")))
     latest = F.max(F.struct("processed", "path", "parsed_content")).alias("r")
     one = parsed.where(F.col("path").isNotNull()).groupBy(doc_path).agg(latest).select("doc_path", "r.*")
-    tables.append(registry.without(one, F.col("doc_path"), held), table)
+    new = registry.without(one, F.col("doc_path"), held)
+    tables.append(new.withColumn("path", F.col("doc_path")), table)

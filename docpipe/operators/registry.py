@@ -28,8 +28,11 @@ def without(left: DataFrame, key: Column, known: DataFrame) -> DataFrame:
 
 
 def register(new_files: DataFrame, table: str) -> None:
-    """Append one row per file: path, file id, load time, and metadata if given."""
-    tables.append(new_files.withColumn("updated", F.current_timestamp()), table)
+    """Append one row per file: path without `dbfs:`, file id, load time, and metadata if given."""
+    rows = new_files.withColumns(
+        {"doc_path": norm_path(F.col("doc_path")), "updated": F.current_timestamp()}
+    )
+    tables.append(rows, table)
 
 
 def pending(source: DataFrame, parsed: DataFrame) -> DataFrame:
@@ -51,8 +54,12 @@ def exists_many(ids: DataFrame, source: DataFrame) -> DataFrame:
     ).drop("n")
 
 
-def one_per_path(source: DataFrame) -> DataFrame:
-    """The latest registration of each path without `dbfs:`, as (doc_path, title, authors)."""
+def one_per_path(source: DataFrame, normal: bool = False) -> DataFrame:
+    """The latest registration of each path without `dbfs:`, as (doc_path, title, authors).
+
+    With `normal` all paths are known to be without it, so buckets by path are used as they lie.
+    """
     latest = F.max(F.struct("updated", "source_file_id", "title", "authors")).alias("r")
-    path = norm_path(F.col("doc_path")).alias("doc_path")
+    path = F.col("doc_path") if normal else norm_path(F.col("doc_path"))
+    path = path.alias("doc_path")
     return source.groupBy(path).agg(latest).select("doc_path", "r.title", "r.authors")

@@ -38,9 +38,14 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
     Files survive lost executors, and Spark knows their size when it plans what follows.
     """
+    return written_at(df, name)[0]
+
+
+def written_at(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """As `written`, and the folder, for the caller to `remove` when nothing reads it any more."""
     path = new_dir(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
 
 
 def remove(spark: SparkSession, path: str) -> None:

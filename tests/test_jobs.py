@@ -1,8 +1,9 @@
 import pytest
+from helpers import plan_of
 from pyspark.sql import functions as F
 
-from docpipe.operators import chunks, embed
-from docpipe.operators.index import KeyViolation, VectorIndex
+from docpipe.operators import chunks, embed, tables
+from docpipe.operators.index import VectorIndex
 from docpipe.plans import jobs
 from docpipe.sources.files import discover, path_batches, scan_files
 from docpipe.sources.tables import MissingTable, optional_table, read_table
@@ -96,6 +97,20 @@ def test_files_to_prompts(spark, db, files, monkeypatch):
     assert {r.context for r in only.collect()} == {"page 1 words"}
 
 
+def test_no_text_is_shuffled_from_parsed_documents_to_chunks(spark, db, files):
+    source, parsed = f"{db}.source_docs", f"{db}.parsed_docs"
+    jobs.ingest(spark, str(files), source, "*.html", read_metadata=True)
+    jobs.parse_pending(spark, source, parsed)
+    own = tables.own_session(spark)
+    own.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    rows = chunks.build_stored(own, parsed, source)
+    plan = plan_of(rows.repartition(tables.buckets_of(spark, parsed), "doc_path"))
+    assert "Exchange" not in plan and "parsed_content" in plan and "Join" in plan
+    # a table of another kind is still joined, by its paths without `dbfs:`
+    spark.table(parsed).withColumn("path", F.concat(F.lit("dbfs:"), "path")).write.saveAsTable(f"{db}.plain")
+    assert chunks.build_stored(own, f"{db}.plain", source).where("title IS NULL").isEmpty()
+
+
 def test_missing_tables(spark, db):
     with pytest.raises(MissingTable):
         read_table(spark, f"{db}.absent")
@@ -130,21 +145,13 @@ def test_a_missing_file_is_passed_over(spark, db, files):
     assert spark.table(parsed).count() == 5
 
 
-def test_bad_keys_leave_the_chunk_table(spark, db):
-    good = spark.createDataFrame([("a", "x"), ("b", "y")], "id string, text string")
-    chunks.save(good, f"{db}.chunks", 2)
-    with pytest.raises(KeyViolation):
-        chunks.save(good.unionByName(good), f"{db}.chunks", 2)
-    assert spark.table(f"{db}.chunks").count() == 2
-    chunks.save(good.where("id = 'a'"), f"{db}.chunks", 2)
-    assert [tuple(r) for r in spark.table(f"{db}.chunks").collect()] == [("a", "x")]
-
-
 def test_another_dimension_raises(spark, db):
     idx = VectorIndex(spark, f"{db}.idx", dim=512)
-    idx.sync(spark.createDataFrame([("a", "x", "t", "w")], "id string, text string, title string, authors string"))
+    schema = "doc_path string, id string, text string, title string, authors string"
+    chunks.save(spark.createDataFrame([("d", "a", "x", "t", "w")], schema), f"{db}.chunks", idx.buckets)
+    idx.sync(f"{db}.chunks")
     asked = spark.createDataFrame([("q", "x")], "qid string, question string")
-    table = spark.createDataFrame([("a", "x", "t", "w")], "id string, text string, title string, authors string")
+    table = spark.table(f"{db}.chunks")
     with pytest.raises(ValueError, match="512"):
         jobs.answer_prompts(asked, idx.read(), table, dim=256)
     assert [r.context for r in jobs.answer_prompts(asked, idx.read(), table).collect()] == ["x"]

@@ -2,9 +2,10 @@ import os
 from datetime import datetime
 
 import pytest
+from pyspark.sql import functions as F
 
 from docpipe import schemas
-from docpipe.operators.index import VectorIndex
+from docpipe.operators import parse as parse_operator
 from docpipe.streaming import runs
 
 
@@ -18,7 +19,33 @@ def parse(spark, work):
     runs.parse_new_files(
         spark, f"{work}/in", f"{work}/parsed", f"{work}/log1", "*.html", max_files=1
     )
-    return spark.read.schema(schemas.PARSED_DOCS).parquet(f"{work}/parsed")
+    return runs.read_batches(spark, f"{work}/parsed", schemas.PARSED_DOCS)
+
+
+def follow(spark, work, log="log3"):
+    """The chunks of all parsed documents into the index, and its rows."""
+    runs.chunk_new_docs(spark, f"{work}/parsed", f"{work}/chunks", f"{work}/log2")
+    runs.sync_index(spark, f"{work}/chunks", f"{work}/index", f"{work}/{log}")
+    rows = runs.read_index(spark, f"{work}/index").collect()
+    return {(r.id.rsplit("/", 1)[1], tuple(r.vec)) for r in rows}
+
+
+def sizes(state):
+    return {(name, len(vec)) for name, vec in state}
+
+
+def parsed_version(spark, work, path, texts, day, name):
+    """A version of a document, parsed on some day, as another writer adds it."""
+    elements = F.array(*[
+        F.struct(F.lit(str(i)).alias("id"), F.lit("text").alias("type"), F.lit(t).alias("content"))
+        for i, t in enumerate(texts)
+    ]) if texts else F.from_json(F.lit("[]"), "array<struct<id:string,type:string,content:string>>")
+    row = spark.range(1).select(
+        F.lit(path).alias("path"),
+        parse_operator.to_json(elements).alias("parsed_content"),
+        F.lit(datetime(2024, 1, day)).alias("processed"),
+    )
+    row.write.parquet(f"{work}/parsed/{name}")
 
 
 def test_each_run_takes_only_new_files(spark, work):
@@ -31,38 +58,57 @@ def test_each_run_takes_only_new_files(spark, work):
     assert parse(spark, work).count() == 3
 
 
-def test_index_follows_the_files(spark, work, db):
-    idx = VectorIndex(spark, f"{db}.idx")
-
-    def run():
-        parse(spark, work)
-        runs.chunk_new_docs(spark, f"{work}/parsed", f"{work}/chunks", f"{work}/log2")
-        runs.sync_index(spark, f"{work}/chunks", idx, f"{work}/log3", "chunks")
-        return {(r.id.rsplit("/", 1)[1], len(r.vec)) for r in idx.read().collect()}
-
+def test_index_follows_the_files(spark, work):
     (work / "in/a.html").write_text("<h1>x</h1><p>one</p><p>two words</p>")
-    assert run() == {("a.html_1", 1), ("a.html_2", 2)}
+    parse(spark, work)
+    assert sizes(follow(spark, work)) == {("a.html_1", 1), ("a.html_2", 2)}
     (work / "in/b.html").write_text("<p>three words here</p>")
-    assert run() == {("a.html_1", 1), ("a.html_2", 2), ("b.html_0", 3)}
-    batches = spark.table(f"{db}.idx_log").count()
-    run()
-    assert spark.table(f"{db}.idx_log").count() == batches
-
+    parse(spark, work)
+    state = follow(spark, work)
+    assert sizes(state) == {("a.html_1", 1), ("a.html_2", 2), ("b.html_0", 3)}
+    batches = len(list((work / "index").iterdir()))
+    assert follow(spark, work) == state
+    assert len(list((work / "index").iterdir())) == batches
     # A stream that lost its log hands over old batches again.
-    before = {tuple(r) for r in idx.read().select("id", "hash").collect()}
-    runs.sync_index(spark, f"{work}/chunks", idx, f"{work}/log4", "chunks")
-    assert {tuple(r) for r in idx.read().select("id", "hash").collect()} == before
+    assert follow(spark, work, "log4") == state
+
+
+def test_a_shorter_version_deletes_chunks(spark, work):
+    parsed_version(spark, work, "/d/a", ["one", "two", "three"], 1, "v1")
+    parsed_version(spark, work, "/d/b", ["other"], 1, "w1")
+    assert sizes(follow(spark, work)) == {("a_0", 1), ("a_1", 1), ("a_2", 1), ("b_0", 1)}
+    parsed_version(spark, work, "/d/a", ["one", "two more"], 3, "v3")
+    state = follow(spark, work)
+    assert sizes(state) == {("a_0", 1), ("a_1", 2), ("b_0", 1)}
+    # a version from between comes late, and all batches come again
+    parsed_version(spark, work, "/d/a", ["late"] * 5, 2, "v2")
+    assert follow(spark, work) == state
+    assert follow(spark, work, "log4") == state
+    # nothing is left, then it grows again
+    parsed_version(spark, work, "/d/a", [], 4, "v4")
+    assert sizes(follow(spark, work)) == {("b_0", 1)}
+    parsed_version(spark, work, "/d/a", ["back"], 5, "v5")
+    assert sizes(follow(spark, work)) == {("a_0", 1), ("b_0", 1)}
+
+
+def test_versions_of_one_batch(spark, work):
+    for day, texts in ((1, ["a", "b", "c"]), (3, ["z"]), (2, ["x", "y"])):
+        parsed_version(spark, work, "/d/a", texts, day, f"v{day}")
+    state = follow(spark, work)
+    assert sizes(state) == {("a_0", 1)}
+    assert follow(spark, work) == state
 
 
 def test_latest_version_of_a_chunk_wins(spark):
-    def row(id_, text, day):
-        return ("/a", "1", text, id_, "t", None, 0, datetime(2024, 1, day))
+    def row(id_, text, day, deleted=False):
+        return ("/a", "1", text, id_, "t", None, 0, datetime(2024, 1, day), deleted)
 
     df = spark.createDataFrame(
-        [row("a", "old", 1), row("a", "new", 2), row("b", "only", 1)], runs.STREAM_CHUNKS
+        [row("a", "old", 1), row("a", "new", 2), row("b", "only", 1), row("c", "x", 1), row("c", None, 2, True)],
+        runs.STREAM_CHUNKS,
     )
-    got = {tuple(r) for r in runs.latest_by_id(df).select("id", "text", "title").collect()}
-    assert got == {("a", "new", "t"), ("b", "only", "t")}
+    got = {tuple(r) for r in runs.latest_by_id(df).select("id", "text", "title", "deleted").collect()}
+    assert got == {("a", "new", "t", False), ("b", "only", "t", False), ("c", None, "t", True)}
 
 
 def test_stream_joins_the_registry(spark, work):
@@ -72,7 +118,7 @@ def test_stream_joins_the_registry(spark, work):
         [(path, "f", "Title", ["A"], None, None, None, None, None)], schemas.SOURCE_DOCS
     )
     runs.chunk_new_docs(spark, f"{work}/parsed", f"{work}/chunks", f"{work}/log2", source)
-    row = spark.read.parquet(f"{work}/chunks").first()
+    row = runs.read_batches(spark, f"{work}/chunks", runs.STREAM_CHUNKS).first()
     assert (row.title, row.authors, row.text) == ("Title", "A", "one")
 
 
@@ -86,16 +132,10 @@ def test_files_with_old_dates_are_read(spark, work):
     assert parse(spark, work).count() == 2
 
 
-def test_new_checkpoint_takes_new_and_old_files(spark, work, db):
-    idx = VectorIndex(spark, f"{db}.idx")
-
-    def run(log):
-        parse(spark, work)
-        runs.chunk_new_docs(spark, f"{work}/parsed", f"{work}/chunks", f"{work}/log2")
-        runs.sync_index(spark, f"{work}/chunks", idx, f"{work}/{log}", "chunks")
-        return {r.id.rsplit("/", 1)[1] for r in idx.read().collect()}
-
+def test_new_checkpoint_takes_new_and_old_files(spark, work):
     (work / "in/a.html").write_text("<p>one</p>")
-    assert run("log3") == {"a.html_0"}
+    parse(spark, work)
+    assert {n for n, _ in follow(spark, work, "log3")} == {"a.html_0"}
     (work / "in/b.html").write_text("<p>two</p>")
-    assert run("log4") == {"a.html_0", "b.html_0"}
+    parse(spark, work)
+    assert {n for n, _ in follow(spark, work, "log4")} == {"a.html_0", "b.html_0"}

@@ -29,6 +29,7 @@ def line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
         documents(spark, sf_dir)
         .select("doc_id", "lang", "source", F.posexplode(F.split("text", "\n")).alias("ix", "text"))
         .select(
+            text_path().alias("doc_path"),
             F.concat_ws("_", "doc_id", "ix").alias("id"),
             "text",
             F.col("source").alias("title"),
@@ -96,12 +97,13 @@ def new_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
         .withColumn("doc_id", F.substring_index("id", "_", 1).cast("bigint"))
         .join(toxic, "doc_id", "left_anti")
         .withColumn("text", F.regexp_replace("text", "[0-9]", "#"))
-        .select("id", "text", "title", "authors")
+        .select("doc_path", "id", "text", "title", "authors")
     )
     added = (
         pages(spark, sf_dir)
         .select("page_id", "url", F.explode(parse.html_elements(F.col("html"))).alias("e"))
         .select(
+            F.concat(F.lit("/pages/"), "page_id").alias("doc_path"),
             F.concat(F.lit("p"), "page_id", F.lit("_"), "e.id").alias("id"),
             F.col("e.content").alias("text"),
             F.col("url").alias("title"),

@@ -149,7 +149,7 @@ new_chunks AS (
 """
 
 STATE = f"""
-SELECT id, CAST(len(v) AS INT) AS n_words, CAST(coalesce(list_sum(v), 0) AS INT) AS bucket_sum
+SELECT id, array_to_string(list_sort(v), ' ') AS words
 FROM (SELECT id, {words("text")} AS v FROM new_chunks)
 """
 
@@ -280,8 +280,8 @@ def all_oracles() -> dict[str, str]:
         "q_stream_sync": f"""
             WITH {ELEMENTS}, texts AS (
                 SELECT page_id, id AS chunk_id, {words(clean("content"))} AS v
-                FROM elements WHERE type = 'text')
-            SELECT page_id, chunk_id, CAST(len(v) AS INT) AS n_words,
-                CAST(coalesce(list_sum(v), 0) AS INT) AS bucket_sum
+                FROM elements
+                WHERE type = 'text' AND (url NOT LIKE 'http://%' OR id = '0'))
+            SELECT page_id, chunk_id, array_to_string(list_sort(v), ' ') AS words
             FROM texts""",
     }

@@ -281,12 +281,9 @@ def embedded(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embed.hashed_counts(data.line_chunks(spark, sf_dir), "id", "text")
 
 
-def _state(idx: index.VectorIndex) -> DataFrame:
-    return idx.read().select(
-        "id",
-        F.size("vec").alias("n_words"),
-        F.aggregate("vec", F.lit(0), lambda total, b: total + b).alias("bucket_sum"),
-    )
+def _words() -> F.Column:
+    """A vector as text: its buckets in order."""
+    return F.array_join(F.array_sort("vec"), " ").alias("words")
 
 
 def _synced(spark: SparkSession, sf_dir: str) -> index.VectorIndex:
@@ -295,12 +292,12 @@ def _synced(spark: SparkSession, sf_dir: str) -> index.VectorIndex:
     idx = index.VectorIndex(spark, f"{db}.index")
     for snapshot in (data.old_chunks, data.new_chunks):
         chunks.save(snapshot(spark, sf_dir), f"{db}.chunks", idx.buckets)
-        idx.sync(spark.table(f"{db}.chunks"))
+        idx.sync(f"{db}.chunks")
     return idx
 
 
 def synced(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _state(_synced(spark, sf_dir))
+    return _synced(spark, sf_dir).read().select("id", _words())
 
 
 # Search
@@ -370,7 +367,7 @@ def indexed_prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
     idx = index.VectorIndex(spark, f"{db}.index")
     chunks.save(data.line_chunks(spark, sf_dir), f"{db}.chunks", idx.buckets)
     lines = spark.table(f"{db}.chunks")
-    idx.sync(lines)
+    idx.sync(f"{db}.chunks")
     return jobs.answer_prompts(
         data.questions(spark, sf_dir), idx.read(), lines, filters={"authors": ["en", "de"]}
     ).select("qid", "prompt")
@@ -410,7 +407,7 @@ def stream_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
             spark, folder, f"{work}/parsed", f"{work}/parse-log", GLOB
         ),
     )
-    parsed = spark.read.schema(schemas.PARSED_DOCS).parquet(f"{work}/parsed")
+    parsed = runs.read_batches(spark, f"{work}/parsed", schemas.PARSED_DOCS)
     return parsed.select(
         data.page_of().alias("page_id"),
         F.inline(F.from_json("parsed_content", schemas.PARSED_CONTENT, schemas.JSON_OPTIONS)["document"]["elements"]),
@@ -418,21 +415,36 @@ def stream_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_sync(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Files to index by three chained streams."""
+    """Files to index by three chained streams.
+
+    Then the pages of http:// come again with their first element alone, and the chunks are read
+    once more by a stream that starts anew.
+    """
     work = new_dir(spark, "stream")
-    idx = index.VectorIndex(spark, f"{new_database(spark, 'stream')}.index")
+
+    def follow(log: str = "sync-log") -> None:
+        runs.chunk_new_docs(spark, f"{work}/parsed", f"{work}/chunks", f"{work}/chunk-log")
+        runs.sync_index(spark, f"{work}/chunks", f"{work}/index", f"{work}/{log}")
 
     def run(folder: str) -> None:
         runs.parse_new_files(spark, folder, f"{work}/parsed", f"{work}/parse-log", GLOB)
-        runs.chunk_new_docs(spark, f"{work}/parsed", f"{work}/chunks", f"{work}/chunk-log")
-        runs.sync_index(spark, f"{work}/chunks", idx, f"{work}/sync-log", "chunks")
+        follow()
 
     _stream_pages(spark, sf_dir, run)
-    return _state(idx).select(
+    parsed = runs.read_batches(spark, f"{work}/parsed", schemas.PARSED_DOCS)
+    http = data.pages(spark, sf_dir).where("url LIKE 'http://%'").select("page_id")
+    first = F.slice(
+        F.from_json("parsed_content", schemas.PARSED_CONTENT, schemas.JSON_OPTIONS)["document"]["elements"], 1, 1
+    )
+    shorter = parsed.withColumn("page_id", data.page_of()).join(http, "page_id", "left_semi")
+    shorter = shorter.select("path", parse.to_json(first).alias("parsed_content"), F.current_timestamp().alias("processed"))
+    shorter.write.parquet(f"{work}/parsed/shorter")
+    follow()
+    follow("sync-log-2")
+    return runs.read_index(spark, f"{work}/index").select(
         data.page_of("id").alias("page_id"),
         F.substring_index("id", "_", -1).alias("chunk_id"),
-        "n_words",
-        "bucket_sum",
+        _words(),
     )
 
 
