@@ -98,8 +98,8 @@ def _counted(name: str, key: str, source: str, text: str) -> str:
 """
 
 
-def _ranked(chunks: str = "chunks") -> str:
-    return f"""{LINES},
+def _ranked(chunks: str = "chunks", before: str = LINES) -> str:
+    return f"""{before},
 questions AS (
     SELECT conv_id || '_' || turn AS qid, text AS question FROM conversations WHERE role = 'user'),
 searched AS (SELECT * FROM {chunks}),
@@ -167,6 +167,73 @@ SELECT qid, id, score,
 FROM scores QUALIFY rank <= 5
 """
 
+# Cells around the mean directions of the labels; each vector is in the nearest, and asks in four.
+PROBED = """
+WITH given AS (
+    SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v,
+        sqrt(list_dot_product(CAST(embedding AS DOUBLE[]), CAST(embedding AS DOUBLE[]))) AS size
+    FROM embeddings),
+parts AS (
+    SELECT label, unnest(v) / size AS x, generate_subscripts(v, 1) AS k FROM given),
+means AS (SELECT label, k, avg(x) AS x FROM parts GROUP BY ALL),
+centers AS (SELECT label AS cell, list(x ORDER BY k) AS c FROM means GROUP BY label),
+near AS (
+    SELECT vec_id, cell, row_number() OVER (PARTITION BY vec_id
+        ORDER BY list_dot_product(c, c) - 2 * list_dot_product(v, c) / size, cell) AS place
+    FROM given, centers),
+scores AS (
+    SELECT q.vec_id AS qid, i.vec_id AS id,
+        round(list_dot_product(a.v, b.v)
+            / sqrt(list_dot_product(a.v, a.v) * list_dot_product(b.v, b.v)), 6) AS score
+    FROM near q JOIN near i ON q.cell = i.cell AND q.place <= 4 AND i.place = 1
+    JOIN given a ON a.vec_id = q.vec_id JOIN given b ON b.vec_id = i.vec_id)
+SELECT qid, id, score,
+    CAST(row_number() OVER (PARTITION BY qid ORDER BY score DESC, id) AS INT) AS rank
+FROM scores QUALIFY rank <= 5
+"""
+
+
+def _cell_places(name: str, key: str) -> str:
+    """For each row of counted words the cells, nearest first."""
+    return f"""
+{name}_near AS (
+    SELECT {key}, cell, row_number() OVER (PARTITION BY {key} ORDER BY size2 - 2 * dot, cell) AS place
+    FROM (
+        SELECT {key}, cell, any_value(size2) AS size2,
+            sum({name}_counts.n * x) / sqrt(any_value(norm2)) AS dot
+        FROM {name}_counts JOIN {name}_norms USING ({key}) JOIN means USING (bucket)
+        JOIN sizes USING (cell) GROUP BY {key}, cell))"""
+
+
+# Questions and lines by the mean directions of the languages.
+PROBE_RECALL = f"""
+WITH {_ranked()},
+units AS (
+    SELECT authors AS cell, bucket, c_counts.n / sqrt(norm2) AS x
+    FROM c_counts JOIN c_norms USING (id) JOIN chunks USING (id)),
+lengths AS (
+    SELECT authors AS cell, count(*) AS n FROM c_norms JOIN chunks USING (id) GROUP BY authors),
+buckets AS (SELECT unnest(range(256)) AS bucket),
+means AS (
+    SELECT cell, bucket, coalesce(s.x, 0) / n AS x
+    FROM lengths CROSS JOIN buckets
+    LEFT JOIN (SELECT cell, bucket, sum(x) AS x FROM units GROUP BY ALL) s USING (cell, bucket)),
+sizes AS (SELECT cell, sum(x * x) AS size2 FROM means GROUP BY cell),
+{_cell_places("c", "id")},
+{_cell_places("q", "qid")},
+near_hits AS (
+    SELECT nprobe, scores.qid, scores.id
+    FROM (SELECT unnest([1, 2, 3]) AS nprobe, * FROM scores) scores
+    JOIN c_near ON c_near.id = scores.id AND c_near.place = 1
+    JOIN q_near ON q_near.qid = scores.qid AND q_near.cell = c_near.cell
+    WHERE q_near.place <= nprobe
+    QUALIFY row_number() OVER (PARTITION BY nprobe, scores.qid ORDER BY score DESC, scores.id) <= 5)
+SELECT CAST(nprobe AS INT) AS nprobe, count(n.id) AS found, count(*) AS wanted,
+    round(count(n.id) / count(*), 6) AS recall
+FROM (SELECT unnest([1, 2, 3]) AS nprobe, qid, id FROM hits) LEFT JOIN near_hits n USING (nprobe, qid, id)
+GROUP BY nprobe
+"""
+
 CLEANED = f"""
 SELECT doc_id,
     {clean("regexp_replace(text, '([a-z]{5}) ', '\\1-' || chr(10), 'g')")} AS text
@@ -272,6 +339,9 @@ def all_oracles() -> dict[str, str]:
         "q_top_k_blocks": f"WITH {_ranked()} SELECT qid, rank, id, score FROM hits",
         "q_top_k_filtered": f"WITH {_ranked(FILTERED)} SELECT * FROM full_hits",
         "q_top_k_cells": KNN,
+        "q_top_k_probed": PROBED,
+        "q_cells_followed": f"WITH {_ranked('new_chunks', NEW_CHUNKS)} SELECT qid, rank, id, score FROM hits",
+        "q_probe_recall": PROBE_RECALL,
         "q_context": f"WITH {_ranked()} SELECT * FROM contexts",
         "q_prompts": f"WITH {_ranked()} SELECT * FROM prompts",
         "q_indexed_prompts": f"WITH {_ranked(FILTERED)} SELECT qid, prompt FROM prompts",

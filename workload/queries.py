@@ -10,6 +10,7 @@ from docpipe import schemas
 from docpipe.functions import sql as sql_functions
 from docpipe.functions import text as text_functions
 from docpipe.operators import (
+    cells,
     chunks,
     embed,
     index,
@@ -247,7 +248,7 @@ def page_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     idx = index.VectorIndex(spark, f"{db}.index")
     jobs.index_chunks(spark, parsed, source, f"{db}.chunks", idx)
     held = read_table(spark, f"{db}.chunks", "id", "doc_path", "chunk_id", "text", "title")
-    return idx.read().join(held, "id").select(
+    return idx.read().join(held, [*index.KEY]).select(
         data.page_of("doc_path").alias("page_id"),
         "chunk_id",
         "text",
@@ -315,16 +316,62 @@ def knn_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _cells(spark: SparkSession, sf_dir: str, n: int) -> tuple[DataFrame, np.ndarray]:
-    path = new_dir(spark, "cells")
-    index.build_cells(_vectors(spark, sf_dir, "id"), path, n)
-    return index.read_cells(spark, path)
+def _held_cells(spark: SparkSession, vectors: DataFrame, centers: np.ndarray, dim: int | None) -> cells.Cells:
+    held = cells.Cells(spark, f"{new_database(spark, 'cells')}.cells", dim)
+    held.build(vectors, centers)
+    return held
 
 
 def top_k_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All cells probed, which makes the search exact."""
-    cells, centers = _cells(spark, sf_dir, 16)
-    return search.top_k_cells(_vectors(spark, sf_dir, "qid"), cells, centers, nprobe=16)
+    vectors = _vectors(spark, sf_dir, "id")
+    held = _held_cells(spark, vectors, cells.learn_centers(vectors, 16), None)
+    return search.top_k_cells(_vectors(spark, sf_dir, "qid"), held.read(), held.centers(), nprobe=16)
+
+
+def top_k_probed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four of ten cells probed. Their centers are the mean directions of the labels."""
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select(
+        F.col("vec_id").alias("id"), F.col("embedding").alias("vec"), "label"
+    )
+    held = _held_cells(spark, vectors.drop("label"), cells.mean_centers(vectors, "label"), None)
+    return search.top_k_cells(_vectors(spark, sf_dir, "qid"), held.read(), held.centers(), nprobe=4)
+
+
+def cells_followed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Search in the cells of the first snapshot's index, after they followed it to the second."""
+    db = new_database(spark, "follow")
+    idx = index.VectorIndex(spark, f"{db}.index")
+    held = cells.Cells(spark, f"{db}.cells", idx.dim)
+    for number, snapshot in enumerate((data.old_chunks, data.new_chunks)):
+        chunks.save(snapshot(spark, sf_dir), f"{db}.chunks", idx.buckets)
+        idx.sync(f"{db}.chunks")
+        rows = idx.read().select("id", "vec", "hash")
+        if number:
+            held.follow(rows)
+        else:
+            held.build(rows, cells.learn_centers(rows, 16, idx.dim))
+    return search.top_k_cells(_asked(spark, sf_dir), held.read(), held.centers(), 16, dim=idx.dim)
+
+
+def probe_recall(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of the five best lines for each question, the share found with one, two and three of four
+    cells. The centers are the mean directions of the languages."""
+    lines = data.line_chunks(spark, sf_dir)
+    vectors = written(embed.hashed(lines, "id", "text"), "vectors")
+    grouped = vectors.join(lines.select("id", "authors"), "id")
+    held = _held_cells(spark, vectors, cells.mean_centers(grouped, "authors", embed.DIM), embed.DIM)
+    asked = _asked(spark, sf_dir)
+    exact = written(search.top_k(asked, vectors).select("qid", "id"), "exact")
+    rows, centers = held.read(), held.centers()
+    out = None
+    for nprobe in (1, 2, 3):
+        near = search.top_k_cells(asked, rows, centers, nprobe, dim=embed.DIM).select("qid", "id")
+        counted = exact.join(near.withColumn("found", F.lit(1)), ["qid", "id"], "left").agg(
+            F.lit(nprobe).alias("nprobe"), F.count("found").alias("found"), F.count(F.lit(1)).alias("wanted")
+        )
+        out = counted if out is None else out.unionByName(counted)
+    return out.withColumn("recall", F.round(F.col("found") / F.col("wanted"), 6))
 
 
 def _asked(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -375,12 +422,11 @@ def indexed_prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def cell_prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The question job on text vectors in cells, all of them probed."""
-    path = new_dir(spark, "cells")
     lines = data.line_chunks(spark, sf_dir)
-    index.build_cells(embed.hashed(lines, "id", "text"), path, 16, embed.DIM)
-    cells, centers = index.read_cells(spark, path)
+    vectors = embed.hashed(lines, "id", "text")
+    held = _held_cells(spark, vectors, cells.learn_centers(vectors, 16, embed.DIM), embed.DIM)
     return jobs.answer_prompts(
-        data.questions(spark, sf_dir), cells, lines, centers=centers, nprobe=16
+        data.questions(spark, sf_dir), held.read(), lines, centers=held.centers(), nprobe=16
     ).select("qid", "prompt")
 
 
@@ -480,6 +526,9 @@ def all_queries() -> dict:
         "q_top_k_blocks": top_k_blocks,
         "q_top_k_filtered": top_k_filtered,
         "q_top_k_cells": top_k_cells,
+        "q_top_k_probed": top_k_probed,
+        "q_cells_followed": cells_followed,
+        "q_probe_recall": probe_recall,
         "q_context": contexts,
         "q_prompts": prompts,
         "q_indexed_prompts": indexed_prompts,
