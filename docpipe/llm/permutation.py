@@ -32,12 +32,12 @@ COSINES = np.linspace(-1.0, 1.0, 81)
 PAIRS = 512
 #: Vectors compared exactly before there is a radius, for each neighbour asked for.
 FIRST = 3
-#: Rows of one block of the index, and queries that meet it at a time.
-BLOCK_ROWS, BLOCK_QUERIES = 32_768, 32_768
+#: Rows of one block of the index, and queries of one that meets it, at most.
+BLOCK_ROWS, BLOCK_QUERIES = 131_072, 16_384
+#: Few queries are dealt over so many blocks, if each gets FEW of them.
+SPREAD, FEW = 8, 64
 #: Rows of a block that are posted together.
 POSTED = 8192
-#: Rows that are not worth a task of their own.
-SMALL = 2000
 
 
 def usable(vector: Column) -> Column:
@@ -234,12 +234,12 @@ class Index:
     """
 
     def __init__(self, vectors: DataFrame):
-        vector = F.transform("embedding", lambda x: x.cast("double"))
-        rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), vector.alias("v"))
+        rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").alias("v"))
         rows = rows.where(F.col("vec_id").isNotNull() & usable(F.col("v"))).distinct()
         # the greatest component taken out, so that no square leaves the range of numbers
-        largest = F.array_max(F.transform("v", F.abs))
-        square = F.aggregate("v", F.lit(0.0), lambda t, x: t + (x / F.col("largest")) * (x / F.col("largest")))
+        largest = F.array_max(F.transform("v", lambda x: F.abs(x).cast("double")))
+        part = F.col("largest")
+        square = F.aggregate("v", F.lit(0.0), lambda t, x: t + (x / part) * (x / part))
         rows = rows.withColumn("largest", largest)
         norm = F.col("largest") * F.sqrt(square)
         facts = rows.agg(F.count("*"), F.max(F.size("v")), F.max(norm)).first()
@@ -273,10 +273,8 @@ class Index:
         """
         fitted, width = self.fitted, self.width
         asked = queries.count()
-        n_q = max(1, math.ceil(asked / BLOCK_QUERIES))
-        tasks = 3 * int(queries.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        spread = min(math.ceil(tasks / n_q), math.ceil(self.count / SMALL))
-        n_i = max(1, math.ceil(self.count / BLOCK_ROWS), spread)
+        n_q = max(1, math.ceil(asked / BLOCK_QUERIES), min(SPREAD, math.ceil(asked / FEW)))
+        n_i = max(1, math.ceil(self.count / BLOCK_ROWS))
 
         def cut(rows: DataFrame, own: str, n_own: int, other: str, n_other: int):
             block = F.pmod(F.xxhash64("vec_id", "v"), F.lit(n_own).cast("long")).alias(own)

@@ -111,7 +111,7 @@ def test_posted_distances_are_footrules():
 def test_blocks_and_passes_give_the_same_rows(spark, monkeypatch):
     random = np.random.default_rng(8)
     rows = [(i, v.tolist()) for i, v in enumerate(random.normal(size=(400, 8)))]
-    for name, size in (("BLOCK_ROWS", 90), ("BLOCK_QUERIES", 7), ("POSTED", 16)):
+    for name, size in (("BLOCK_ROWS", 90), ("BLOCK_QUERIES", 7), ("FEW", 4), ("POSTED", 16)):
         monkeypatch.setattr(pm, name, size)
     index = pm.Index(vectors(spark, rows))
     got = found(index.search(index.rows.where("vec_id % 20 = 0"), 5))
