@@ -230,7 +230,8 @@ def manifest(leaves: DataFrame, payload: list[str]) -> Manifest:
     return Manifest(tiers, tops, Manifest(upper_tiers, upper_tops, None, root), root)
 
 
-PATH = [T.StructField("proof", T.BinaryType()), T.StructField("turns", T.BinaryType())]
+#: What a block's leaves share: the path over the block's root, and the root of their group.
+PATH = [T.StructField(name, T.BinaryType()) for name in ("proof", "turns", "subroot")]
 
 
 def _spread(blocks: DataFrame, fields: list[T.StructField], with_root: bool) -> DataFrame:
@@ -248,8 +249,8 @@ def _spread(blocks: DataFrame, fields: list[T.StructField], with_root: bool) ->
                 yield spread(batch.slice(k, 1))
 
     def spread(row: pa.RecordBatch) -> pa.RecordBatch:
-        g, block, m, data, above, turns = (
-            row.column(n)[0].as_py() for n in ("g", "block", "m", "nodes", "proof", "turns")
+        g, block, m, data, above, turns, subroot = (
+            row.column(n)[0].as_py() for n in ("g", "block", "m", "nodes", *(f.name for f in PATH))
         )
         nodes = np.frombuffer(data, np.uint8).reshape(-1, SIZE)
         levels = HEIGHT + 1 if m > BLOCK else levels_for(m)
@@ -260,10 +261,11 @@ def _spread(blocks: DataFrame, fields: list[T.StructField], with_root: bool) ->
         if with_root:
             own = nodes[address(levels, levels - 1, np.arange(count))].tobytes()
             columns.append(pa.array([own[i : i + SIZE] for i in range(0, len(own), SIZE)], pa.binary()))
-        columns += [pa.array(x, pa.binary()) for x in (proofs, shapes)]
+        columns += [pa.array(x, pa.binary()) for x in (proofs, shapes, [subroot] * count)]
         return pa.RecordBatch.from_arrays(columns, names=schema.names)
 
-    return blocks.select("g", "block", "m", "nodes", *names, "proof", "turns").mapInArrow(run, schema)
+    paths = [f.name for f in PATH]
+    return blocks.select("g", "block", "m", "nodes", *names, *paths).mapInArrow(run, schema)
 
 
 def _descend(tiers: list[DataFrame], starts: DataFrame, fields: list[T.StructField]) -> DataFrame:
@@ -273,7 +275,7 @@ def _descend(tiers: list[DataFrame], starts: DataFrame, fields: list[T.StructFie
         tier = tiers[number]
         blocks = tier.where(F.col("m") <= BLOCK).join(starts, "g")
         if below is not None:
-            more = below.select("g", F.col("r").alias("block"), "proof", "turns")
+            more = below.withColumnRenamed("r", "block")
             blocks = blocks.unionByName(tier.where(F.col("m") > BLOCK).join(more, ["g", "block"]))
         below = _spread(blocks, [] if number else fields, number == 0)
     return below
@@ -283,11 +285,11 @@ def proofs(built: Manifest, payload: list[T.StructField]) -> DataFrame:
     """For each leaf: payload, `leaf`, `proof` (the siblings of all levels, one after the other),
     `turns` (on each level, how many siblings stand before and after) and its group's `subroot`."""
     spark = built.tops.sparkSession
-    nothing = spark.createDataFrame([("", b"", b"")], T.StructType([T.StructField("g", T.StringType()), *PATH]))
+    nothing = spark.createDataFrame([("", b"", b"", b"")], T.StructType([T.StructField("g", T.StringType()), *PATH]))
     groups = _descend(built.upper.tiers, nothing, [T.StructField("key", T.StringType())])
-    starts = groups.select(F.col("key").alias("g"), "proof", "turns")
-    found = _descend(built.tiers, starts, payload)
-    return found.join(built.tops.withColumnRenamed("root", "subroot"), "g").drop("r")
+    # the leaves over the groups are their roots
+    starts = groups.select(F.col("key").alias("g"), "proof", "turns", F.col("leaf").alias("subroot"))
+    return _descend(built.tiers, starts, payload).drop("r")
 
 
 def verified(paths: DataFrame, leaf: str, root: bytes | None, name: str = "folded") -> DataFrame:
