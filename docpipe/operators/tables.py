@@ -41,11 +41,11 @@ def buckets_of(spark: SparkSession, name: str) -> int:
     return int(described.data_type)
 
 
-def append(df: DataFrame, name: str) -> None:
+def append(df: DataFrame, name: str, placed: bool = False) -> None:
     """Append by column name; columns the query lacks are NULL.
 
     Rows for a bucketed table are brought together by bucket first, so that a task writes the files
-    of its own buckets only.
+    of its own buckets only; `placed` says that they are together already.
     """
     spark = df.sparkSession
     rows = df.select(
@@ -55,7 +55,7 @@ def append(df: DataFrame, name: str) -> None:
         ]
     )
     key = bucket_key(spark, name)
-    if key:
+    if key and not placed:
         rows = rows.repartition(buckets_of(spark, name), key)
     rows.write.insertInto(name)
 

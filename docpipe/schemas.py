@@ -32,6 +32,24 @@ SOURCE_DOCS = T.StructType(
 # The same columns keyed by a catalogue id.
 CATALOGUE = T.StructType([T.StructField("id", T.StringType()), *SOURCE_DOCS.fields[1:]])
 
+# What a source of files lists: its own id of each file, the file's name there, and where to read it.
+LISTING = T.StructType(
+    [
+        T.StructField("file_id", T.StringType()),
+        T.StructField("name", T.StringType()),
+        T.StructField("path", T.StringType()),
+    ]
+)
+
+# Files that a run did not find.
+MISSING = T.StructType(
+    [
+        T.StructField("path", T.StringType()),
+        T.StructField("error", T.StringType()),
+        T.StructField("seen", T.TimestampType()),
+    ]
+)
+
 # `parsed_content` is JSON text of the shape PARSED_CONTENT.
 PARSED_DOCS = T.StructType(
     [

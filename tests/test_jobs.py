@@ -2,9 +2,11 @@ import pytest
 from helpers import plan_of
 from pyspark.sql import functions as F
 
+from docpipe import schemas
 from docpipe.operators import chunks, embed, tables
 from docpipe.operators.index import VectorIndex
 from docpipe.plans import jobs
+from docpipe.sources import files as sources_files
 from docpipe.sources.files import discover, path_batches, scan_files
 from docpipe.sources.tables import MissingTable, optional_table, read_table
 
@@ -133,16 +135,83 @@ def test_chunks_without_registry(spark, db, files):
     assert spark.table(f"{db}.chunks").where("title IS NULL AND authors IS NULL").count() == 5
 
 
-def test_a_missing_file_is_passed_over(spark, db, files):
-    source, parsed = f"{db}.source_docs", f"{db}.parsed_docs"
+def test_a_missing_file_is_passed_over_and_reported(spark, db, files):
+    source, parsed, missing = (f"{db}.{t}" for t in ("source_docs", "parsed_docs", "missing"))
     jobs.ingest(spark, str(files), source, "*.html")
     (files / "sub1/p1.html").unlink()
-    with pytest.warns(UserWarning, match="p1.html"):
-        jobs.parse_pending(spark, source, parsed)
+    jobs.parse_pending(spark, source, parsed, missing)
     assert spark.table(parsed).count() == 4
+    assert [(r.path.rsplit("/", 1)[1], r.error) for r in spark.table(missing).collect()] == [
+        ("p1.html", "file is gone")
+    ]
     write(files, "sub1/p1.html", "<p>back</p>")
+    jobs.parse_pending(spark, source, parsed, missing)
+    assert spark.table(parsed).count() == 5 and spark.table(missing).count() == 1
+
+
+def test_files_are_read_where_their_bucket_is_written(spark, db, files, monkeypatch):
+    source, parsed = f"{db}.source_docs", f"{db}.parsed_docs"
+    monkeypatch.setattr(jobs, "path_batches", lambda paths, size: iter(() if paths.isEmpty() else (1 / 0,)))
+    jobs.ingest(spark, str(files), source, "*.html", read_metadata=True)
+    jobs.parse_pending(spark, source, parsed)
+    bucket = F.pmod(F.hash("path"), F.lit(tables.buckets_of(spark, parsed)))
+    placed = spark.table(parsed).select(bucket.alias("b"), F.input_file_name().alias("f")).distinct()
+    rows = placed.withColumn("named", F.regexp_extract("f", r"_(\d+)\.c\d+", 1).cast("int")).collect()
+    assert rows and all(r.b == r.named for r in rows)
+    assert len({r.f for r in rows}) == len({r.b for r in rows})
+
+
+def test_files_of_other_stores_are_read_by_spark(spark, db, files, monkeypatch):
+    source, parsed = f"{db}.source_docs", f"{db}.parsed_docs"
+    monkeypatch.setattr(jobs, "opened_by_tasks", lambda path: F.lit(False))
+    jobs.ingest(spark, str(files), source, "*.html", read_metadata=True)
     jobs.parse_pending(spark, source, parsed)
     assert spark.table(parsed).count() == 5
+    assert spark.table(source).where("title = 'Odd'").count() == 1
+
+
+def test_read_listed_hands_on_a_few_at_a_time(spark, files, monkeypatch):
+    monkeypatch.setattr(sources_files, "HELD_BYTES", 50)
+    paths = [f"file:{files}/sub{i}/p{i}.html" for i in range(4)] + [f"{files}/none", f"file://{files}/notes.txt"]
+    df = spark.createDataFrame([(p, i) for i, p in enumerate(paths)], "path string, n int").coalesce(1)
+    got = {r.n: (r.content, r.error) for r in sources_files.read_listed(df).collect()}
+    assert got[0] == (b"<title>T0</title><p>page 0 words</p>", None)
+    assert got[4] == (None, "file is gone") and got[5] == (b"not a page", None) and len(got) == 6
+
+
+def listing(spark, *rows):
+    return spark.createDataFrame(rows, schemas.LISTING)
+
+
+def test_ingest_of_a_listing(spark, db, files, tmp_path):
+    source, folder = f"{db}.source_docs", f"{tmp_path}/copies"
+    first = [
+        ("i1", "a 'quoted' \"name\".html", f"{files}/sub0/p0.html"),
+        ("i2", "same.html", f"{files}/sub1/p1.html"),
+        ("i3", "same.html", f"{files}/sub2/p2.html"),
+        ("i4", "in/a/folder.html", f"{files}/sub3/p3.html"),
+        ("i5", "gone.html", f"{files}/none.html"),
+        (None, "no id.html", f"{files}/sub0/p0.html"),
+    ]
+    jobs.ingest_listing(spark, listing(spark, *first), folder, source, max_files=2)
+    assert {r.source_file_id for r in spark.table(source).collect()} == {"i1", "i2"}
+    for _ in range(2):
+        jobs.ingest_listing(spark, listing(spark, *first, first[0]), folder, source)
+    rows = {r.source_file_id: (r.doc_path.rsplit("/", 1)[1], r.title) for r in spark.table(source).collect()}
+    assert rows == {
+        "i1": ("a quoted name.html", "T0"),
+        "i2": ("same.html", "T1"),
+        "i3": ("i3-same.html", "T2"),
+        "i4": ("in_a_folder.html", "T3"),
+    }
+    assert spark.table(source).count() == 4
+    # the copies are what is parsed
+    jobs.parse_pending(spark, source, f"{db}.parsed_docs")
+    assert spark.table(f"{db}.parsed_docs").count() == 4
+    # it comes back under its id, though its name is new
+    write(files, "none.html", "<title>Back</title>")
+    jobs.ingest_listing(spark, listing(spark, ("i5", "same.html", f"{files}/none.html")), folder, source)
+    assert spark.table(source).where("title = 'Back'").first().doc_path.endswith("/i5-same.html")
 
 
 def test_another_dimension_raises(spark, db):
