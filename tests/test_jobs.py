@@ -1,3 +1,5 @@
+import os
+
 import pytest
 from helpers import plan_of
 from pyspark.sql import functions as F
@@ -6,6 +8,7 @@ from docpipe import schemas
 from docpipe.operators import chunks, embed, tables
 from docpipe.operators.index import VectorIndex
 from docpipe.plans import jobs
+from docpipe.shared import shared_root
 from docpipe.sources import files as sources_files
 from docpipe.sources.files import discover, path_batches, scan_files
 from docpipe.sources.tables import MissingTable, optional_table, read_table
@@ -93,6 +96,11 @@ def test_files_to_prompts(spark, db, files, monkeypatch):
         ("q1", "odd name"),
         ("q2", "a late page of words"),
     }
+    # written to a folder, nothing else is left on shared storage
+    root = shared_root(spark)
+    before = set(os.listdir(root))
+    out = jobs.answer_prompts(asked, index.read(), spark.table(chunk_table), k=1, out=f"{files}/answers")
+    assert sorted(out.collect()) == sorted(answers) and set(os.listdir(root)) == before
     only = jobs.answer_prompts(
         asked, index.read(), spark.table(chunk_table), k=1, filters={"title": ["T1"]}
     )

@@ -69,6 +69,16 @@ titles AS (
     FROM pages)
 """
 
+METADATA = f"""
+WITH {ELEMENTS}, firsts AS (
+    SELECT page_id, {clean("arg_min(content, ix)")} AS summary
+    FROM elements WHERE type = 'text' GROUP BY page_id)
+SELECT page_id, title, coalesce(summary, '') AS summary,
+    array_to_string(
+        regexp_extract_all(html, '\\bhref="([^"]*)"', 1, 'i'), ' ') AS links
+FROM pages JOIN titles USING (page_id) LEFT JOIN firsts USING (page_id)
+"""
+
 LINES = """
 split AS (SELECT doc_id, lang, source, string_split(text, chr(10)) AS ls FROM documents),
 lines AS (
@@ -274,14 +284,7 @@ def all_oracles() -> dict[str, str]:
                 CASE WHEN type = 'title' THEN '# ' || content ELSE content END,
                 chr(10) || chr(10) ORDER BY ix), '') AS markdown
             FROM pages LEFT JOIN elements USING (page_id) GROUP BY page_id""",
-        "q_metadata": f"""
-            WITH {ELEMENTS}, firsts AS (
-                SELECT page_id, {clean("arg_min(content, ix)")} AS summary
-                FROM elements WHERE type = 'text' GROUP BY page_id)
-            SELECT page_id, title, coalesce(summary, '') AS summary,
-                array_to_string(
-                    regexp_extract_all(html, '\\bhref="([^"]*)"', 1, 'i'), ' ') AS links
-            FROM pages JOIN titles USING (page_id) LEFT JOIN firsts USING (page_id)""",
+        "q_metadata": METADATA,
         "q_chunks": f"""
             WITH {LINES}, {SOURCE_DOCS}
             SELECT '/docs/' || doc_id || '.txt' AS doc_path, CAST(ix AS VARCHAR) AS chunk_id,
@@ -305,10 +308,26 @@ def all_oracles() -> dict[str, str]:
                 doc_id IN (SELECT doc_id FROM labels) AS "exists"
             FROM documents""",
         "q_registered": f"""
-            WITH {ELEMENTS} SELECT page_id, title, true AS no_authors, true AS dated FROM titles""",
+            WITH metadata AS ({METADATA})
+            SELECT page_id, page_id AS file_page, title, summary, links,
+                true AS not_known, true AS dated
+            FROM metadata""",
+        "q_listed": f"""
+            WITH metadata AS ({METADATA}),
+            named AS (
+                SELECT page_id, 'f' || lpad(page_id::VARCHAR, 9, '0') AS file_id, url,
+                    replace(replace(url, '/', ''), '.', '') AS name FROM pages)
+            SELECT file_id, title, summary, links, true AS not_known, true AS dated,
+                CASE WHEN row_number() OVER (PARTITION BY name
+                        ORDER BY url NOT LIKE 'http://%', file_id) = 1
+                    THEN name ELSE file_id || '-' || name END AS name
+            FROM named JOIN metadata USING (page_id)""",
         "q_parsed_twice": f"""
             WITH {ELEMENTS}
-            SELECT page_id, CAST(len(ps) AS INT) AS n_elements, true AS dated FROM pieces""",
+            SELECT page_id, true AS dated,
+                coalesce(string_agg(id || '|' || type || '|' || content, chr(10) ORDER BY ix), '')
+                    AS elements
+            FROM pages LEFT JOIN elements USING (page_id) GROUP BY page_id""",
         "q_reset": """
             SELECT 'source_docs' AS "table", count(*) AS "before", CAST(0 AS BIGINT) AS "after"
             FROM labels JOIN documents USING (doc_id)

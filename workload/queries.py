@@ -190,14 +190,51 @@ def registered(spark: SparkSession, sf_dir: str) -> DataFrame:
     data.stage_pages(pages.where("url NOT LIKE 'http://%'"), folder)
     jobs.ingest(spark, folder, table, GLOB, read_metadata=True)
     jobs.ingest(spark, folder, table, GLOB, read_metadata=True)
-    return read_table(spark, table, "doc_path", "title", "authors", "updated").select(
-        data.page_of("doc_path").alias("page_id"),
+    return _registry(spark, table).select(
+        data.page_of("doc_path").alias("page_id"), data.page_of("file_id").alias("file_page"), *REGISTERED
+    )
+
+
+REGISTERED = ("title", "summary", "links", "not_known", "dated")
+
+
+def _registry(spark: SparkSession, table: str) -> DataFrame:
+    """The registry with all its columns in a form to compare: pages name no authors, dates or subjects."""
+    unknown = [F.col(c).isNull() for c in ("authors", "published", "categories")]
+    return read_table(spark, table).select(
+        "doc_path",
+        F.col("source_file_id").alias("file_id"),
         "title",
-        F.col("authors").isNull().alias("no_authors"),
+        "summary",
+        F.array_join("links", " ").alias("links"),
+        (unknown[0] & unknown[1] & unknown[2]).alias("not_known"),
         F.col("updated").isNotNull().alias("dated"),
     )
 
 
+def listed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ingest job on a listing of ids and names, in which quotes stand for slashes and dots.
+
+    First the pages of http://, then all of them, then nothing new.
+    """
+    pages = data.pages(spark, sf_dir)
+    folder, copies = new_dir(spark, "pages"), new_dir(spark, "copies")
+    table = f"{new_database(spark, 'listing')}.source_docs"
+    data.stage_pages(pages, folder)
+    files = scan_files(spark, folder, GLOB).select(data.page_of().alias("page_id"), "path")
+    listing = files.join(pages, "page_id").select(
+        F.concat(F.lit("f"), F.lpad("page_id", 9, "0")).alias("file_id"),
+        F.translate("url", "/.", "\"'").alias("name"),
+        "path",
+        "url",
+    )
+    for some in (listing.where("url LIKE 'http://%'"), listing, listing):
+        jobs.ingest_listing(spark, some.drop("url"), copies, table)
+    return _registry(spark, table).select(
+        "file_id", F.substring_index("doc_path", "/", -1).alias("name"), *REGISTERED
+    )
+
+
 def _parsed_pages(spark: SparkSession, sf_dir: str) -> tuple[str, str, str]:
     db = new_database(spark, "parse")
     source, parsed = f"{db}.source_docs", f"{db}.parsed_docs"
@@ -213,11 +250,11 @@ def parsed_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, source, parsed = _parsed_pages(spark, sf_dir)
     jobs.parse_pending(spark, source, parsed)
     parse.append_parsed(read_table(spark, parsed), parsed)
+    found = F.from_json("parsed_content", schemas.PARSED_CONTENT, schemas.JSON_OPTIONS)["document"]["elements"]
+    fields = F.transform(found, lambda e: F.concat_ws("|", e["id"], e["type"], e["content"]))
     return read_table(spark, parsed).select(
         data.page_of().alias("page_id"),
-        F.size(
-            F.from_json("parsed_content", schemas.PARSED_CONTENT, schemas.JSON_OPTIONS)["document"]["elements"]
-        ).alias("n_elements"),
+        F.array_join(fields, "\n").alias("elements"),
         F.col("processed").isNotNull().alias("dated"),
     )
 
@@ -231,15 +268,15 @@ def reset(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables.append(data.source_docs(spark, sf_dir), f"{db}.source_docs")
     tables.append(data.parsed_docs(spark, sf_dir), f"{db}.parsed_docs")
 
-    def count() -> dict[str, int]:
-        return {n: spark.table(f"{db}.{n}").count() for n in names}
+    def rows(column: str) -> DataFrame:
+        one, other = (
+            spark.table(f"{db}.{n}").agg(F.lit(n).alias("table"), F.count(F.lit(1)).alias(column)) for n in names
+        )
+        return one.unionByName(other)
 
-    before = count()
+    before = written(rows("before"), "counts")
     tables.reset(spark, *[f"{db}.{n}" for n in names], f"{db}.absent")
-    after = count()
-    return spark.createDataFrame(
-        [(n, before[n], after[n]) for n in names], "table STRING, before BIGINT, after BIGINT"
-    )
+    return before.join(rows("after"), "table")
 
 
 def page_index(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -514,6 +551,7 @@ def all_queries() -> dict:
         "q_new_files": new_files,
         "q_exists": exists_many,
         "q_registered": registered,
+        "q_listed": listed,
         "q_parsed_twice": parsed_twice,
         "q_reset": reset,
         "q_page_index": page_index,
