@@ -42,6 +42,8 @@ TURNS = 4
 LEADERS = 4
 #: Sets of a key that meet in one step of the last round; more sets make more steps.
 TILE = 1024
+#: Bits of the largest filter that is sent to all tasks (32 MB).
+MOST_BITS = 1 << 28
 
 
 def most_different(a: int, b: int, percent: int) -> int:
@@ -132,7 +134,7 @@ def digest(text: Column) -> list[Column]:
 
 
 def _sketched(docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """`doc_id`, text's digest `ka`, `kb`, set size `n`, short sketch and keys of each row."""
+    """The text's digest `ka`, `kb`, set size `n`, short sketch and keys of each row."""
 
     def compute():
         hashes, bands = WordHashes(), Bands(percent)
@@ -159,28 +161,62 @@ def _sketched(docs: DataFrame, size: int, percent: int) -> DataFrame:
         return step
 
     ka, kb = digest(F.col("text"))
-    thin = docs.select("doc_id", ka.alias("ka"), kb.alias("kb"), F.col("text").alias("__text"))
+    thin = docs.select(ka.alias("ka"), kb.alias("kb"), F.col("text").alias("__text"))
     longs = T.ArrayType(T.LongType())
     fields = [T.StructField("n", T.LongType())]
     fields += [T.StructField(name, longs) for name in ("short", "wide", "keys")]
     return attach(thin, {"text": F.col("__text")}, fields, compute).drop("__text")
 
 
+def _filter(wanted: DataFrame, bits: int) -> np.ndarray:
+    """A bit for each value of `ka` modulo `bits`: does any of the wanted texts have it?
+
+    Spark builds it in pieces of 4 KB; the driver gets `bits / 8` bytes at most.
+    """
+    place = F.pmod("ka", F.lit(bits))
+    piece, bit = F.floor(place / 32768).cast("int").alias("piece"), F.pmod(place, F.lit(32768))
+    pieces = wanted.groupBy(piece).agg(F.bitmap_construct_agg(bit).alias("b"))
+    out = np.zeros(bits // 8, np.uint8)
+    for row in pieces.toLocalIterator():
+        out[row.piece * 4096 : (row.piece + 1) * 4096] = np.frombuffer(row.b, np.uint8)
+    return out
+
+
 def _sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
-    """The shingle sets, as bytes, of the texts in `wanted` (`ka`, `kb`)."""
+    """The shingle sets, as bytes, of the texts in `wanted` (`ka`, `kb`).
+
+    A filter of bounded size, sent to all tasks, passes over most other texts, so that sets and not
+    texts meet `wanted`. With more texts than such a filter can tell apart, texts are joined first.
+    """
+    count = wanted.count()
+    bits = 1 << max(18, (16 * count).bit_length())
+    ka, kb = digest(F.col("text"))
+    texts = docs.select(ka.alias("ka"), kb.alias("kb"), "text")
+    bitmap = None
+    if bits <= MOST_BITS:
+        bitmap = _filter(wanted, bits)
+    else:
+        texts = texts.join(wanted, ["ka", "kb"], "left_semi")
 
     def compute():
         hashes = WordHashes()
 
         def step(batch: pa.RecordBatch):
-            sets = [shingle_set(t.as_py(), size, hashes).tobytes() for t in batch.column(2)]
-            yield {"ka": batch.column(0), "kb": batch.column(1), "shingles": pa.array(sets, pa.binary())}
+            if bitmap is not None:
+                place = batch.column(0).to_numpy() % bits
+                batch = batch.filter(pa.array(bitmap[place >> 3] >> (place & 7).astype(np.uint8) & 1 == 1))
+            # a few at a time, so that sets of long texts do not pile up
+            for first in range(0, batch.num_rows, 256):
+                rows = batch.slice(first, 256)
+                sets = [shingle_set(t.as_py(), size, hashes).tobytes() for t in rows.column(2)]
+                yield {"ka": rows.column(0), "kb": rows.column(1), "shingles": pa.array(sets, pa.binary())}
 
         return step
 
-    ka, kb = digest(F.col("text"))
-    texts = docs.select(ka.alias("ka"), kb.alias("kb"), "text").join(wanted, ["ka", "kb"], "left_semi")
-    return emit(texts, "ka long, kb long, shingles binary", compute).dropDuplicates(["ka", "kb"])
+    found = emit(texts, "ka long, kb long, shingles binary", compute)
+    if bitmap is not None:
+        found = found.join(wanted, ["ka", "kb"], "left_semi")
+    return found.dropDuplicates(["ka", "kb"])
 
 
 def _similar(pairs: DataFrame, percent: int) -> DataFrame:
@@ -295,15 +331,20 @@ def grouped(docs: DataFrame, size: int, percent: int) -> DataFrame:
 
     def keep(df: DataFrame, name: str) -> DataFrame:
         work.append(kept(df, name))
+        work[-1].role = name
         return work[-1]
 
-    sketched = kept(_sketched(docs, size, percent), "sketches")
-    rows = keep(sketched.select("doc_id", "ka", "kb", "n"), "sized-rows")
-    texts = kept(sketched.where("n > 0").dropDuplicates(["ka", "kb"]).drop("doc_id"), "sketched-texts")
-    dropped(sketched)
+    def finish(role: str) -> None:
+        done = [t for t in work if t.role == role]
+        dropped(*done)
+        work[:] = [t for t in work if t.role != role]
+
+    # one row for each text; rows find their text's size again by its digest
+    texts = kept(_sketched(docs, size, percent).dropDuplicates(["ka", "kb"]), "sketched-texts")
+    sizes = keep(texts.select("ka", "kb", "n"), "sizes")
     shared = None
     for turn in range(TURNS):
-        own = texts.select("ka", "kb", F.explode("keys").alias("key"))
+        own = texts.where("n > 0").select("ka", "kb", F.explode("keys").alias("key"))
         part = keep(_many(own.where(F.pmod("key", F.lit(TURNS)) == turn)), "shared-keys")
         shared = part if shared is None else shared.unionByName(part)
     involved = keep(shared.select("ka", "kb").distinct(), "involved")
@@ -329,6 +370,7 @@ def grouped(docs: DataFrame, size: int, percent: int) -> DataFrame:
 
     def verified(pairs: DataFrame) -> DataFrame:
         pairs = keep(pairs, "close-pairs")
+        finish("members")
         # what the short sketches of large sets could not tell
         pairs = with_sketches(pairs, "wide")
         narrow = (F.size("s_u") == 0) | (F.size("s_v") == 0)
@@ -359,7 +401,10 @@ def grouped(docs: DataFrame, size: int, percent: int) -> DataFrame:
     roots = joined(roots, verified(led(live, live.where(F.col("rank") < F.lit(float(LEADERS)) / F.col("k")))))
     live = open_keys(roots).join(short.drop("wide"), "v")
     roots = joined(roots, verified(_close_pairs(live, percent)))
-    rows = rows.select("doc_id", "ka", "kb", F.col("n").alias("n_shingles"))
+    ka, kb = digest(F.col("text"))
+    rows = docs.select("doc_id", ka.alias("ka"), kb.alias("kb"))
+    rows = rows.join(sizes.withColumnRenamed("n", "n_shingles"), ["ka", "kb"])
+    rows = rows.select("doc_id", "ka", "kb", "n_shingles")
     out = rows.withColumn("node", node).join(roots, "node", "left")
     root = F.when(F.col("n_shingles") > 0, F.coalesce("root", "node"))
     out = kept(out.withColumn("root", root).drop("node"), "groups")
