@@ -1,9 +1,14 @@
 """Tables that the queries run on, derived from whole given tables by content rules."""
 
+import re
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docpipe.operators import parse
+from docpipe.sources.files import OPENED, locate
 from docpipe.sources.tables import spread
 
 
@@ -114,7 +119,20 @@ def new_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage_pages(rows: DataFrame, folder: str) -> None:
-    """Write each page as a file of its own, in a folder that carries its id."""
+    """Write each page as a file of its own, whose name carries its id. The tasks write the files."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for page, html in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                store, name = locate(f"{folder}/page={page}.txt")
+                store.create_dir(name.rsplit("/", 1)[0], recursive=True)
+                with store.open_output_stream(name) as stream:
+                    stream.write(f"{html}\n".encode())
+            yield batch.select(["page_id"])
+
+    if re.match(OPENED, folder):
+        rows.select("page_id", "html").mapInArrow(run, "page_id bigint").write.format("noop").mode("overwrite").save()
+        return
     rows.select(F.col("page_id").alias("page"), F.col("html").alias("value")).write.mode(
         "append"
     ).partitionBy("page").text(folder)
@@ -122,4 +140,4 @@ def stage_pages(rows: DataFrame, folder: str) -> None:
 
 def page_of(path: str = "path") -> F.Column:
     """The page id in the path of a staged file."""
-    return F.regexp_extract(path, r"/page=(\d+)/", 1).cast("bigint")
+    return F.regexp_extract(path, r"/page=(\d+)[/.]", 1).cast("bigint")
