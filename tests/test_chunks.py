@@ -148,4 +148,5 @@ def test_save_is_bucketed(spark, db):
     chunks.save(rows, f"{db}.chunks", 4)
     saved = spark.table(f"{db}.chunks")
     assert saved.count() == 2
-    assert "Exchange" not in plan_of(saved.groupBy("id").count())
+    assert "Exchange" not in plan_of(saved.groupBy("doc_path", "id").count())
+    assert "hash" in saved.columns
