@@ -13,8 +13,9 @@ def shared_root(spark: SparkSession) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
-    sc = spark.sparkContext
-    if not sc.master.startswith("local"):
+    # a remote session has no context, and no folder of its own
+    sc = getattr(spark, "sparkContext", None)
+    if sc is None or not sc.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
     if sc.applicationId not in _local_roots:
         _local_roots[sc.applicationId] = tempfile.mkdtemp(prefix="docpipe-")
@@ -52,7 +53,7 @@ def remove(spark: SparkSession, path: str) -> None:
     """Delete a folder below the shared root that nothing reads any more."""
     if not path.startswith(f"{shared_root(spark)}/"):
         raise ValueError(f"{path} is not below the shared root")
-    jvm = spark._jvm
+    jvm = getattr(spark, "_jvm", None)
     if jvm is None:  # a remote session: the folder stays for the cluster's own cleaning
         return
     target = jvm.org.apache.hadoop.fs.Path(path)

@@ -22,5 +22,8 @@ def optional_table(spark: SparkSession, name: str, *columns: str) -> DataFrame |
 
 def spread(df: DataFrame) -> DataFrame:
     """Use all cores on a scan of too few splits; a scan of many splits stays as it is."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
+    context = getattr(df.sparkSession, "sparkContext", None)
+    if context is None:  # a remote session does not tell
+        return df
+    cores = context.defaultParallelism
     return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)

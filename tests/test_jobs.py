@@ -121,6 +121,18 @@ def test_no_text_is_shuffled_from_parsed_documents_to_chunks(spark, db, files):
     assert chunks.build_stored(own, f"{db}.plain", source).where("title IS NULL").isEmpty()
 
 
+def test_catalogue_by_file_id(spark, db, files):
+    source, parsed, catalogue = (f"{db}.{t}" for t in ("source_docs", "parsed_docs", "catalogue"))
+    jobs.prepare(spark, source, parsed, catalogue)
+    assert all(spark.table(t).isEmpty() for t in (source, parsed, catalogue))
+    pages = [("i1", "a.html", f"{files}/sub0/p0.html"), ("i2", "b.html", f"{files}/sub1/p1.html")]
+    for n in (1, 2, 2):
+        jobs.ingest_listing(spark, listing(spark, *pages[:n]), f"{files}/copies", source)
+        jobs.fill_catalogue(spark, source, catalogue)
+        assert {r.id: r.title for r in spark.table(catalogue).collect()} == {f"i{k + 1}": f"T{k}" for k in range(n)}
+        assert spark.table(catalogue).count() == n
+
+
 def test_missing_tables(spark, db):
     with pytest.raises(MissingTable):
         read_table(spark, f"{db}.absent")
