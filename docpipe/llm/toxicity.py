@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from docpipe.llm.common import attach, table, text_of
+from docpipe.llm.common import attach, give_back, table, text_of
 
 #: Weights of the classifier; the hash of a word, or of its beginning, names one.
 SIZE = 1 << 18
@@ -71,6 +71,30 @@ def telling(positive: list[np.ndarray], unlabelled: list[np.ndarray], least: flo
     return np.abs(of_p - of_u) > least * np.sqrt(pooled * (1 - pooled) * (1 / n + 1 / m))
 
 
+def slopes(theta: np.ndarray, positive: tuple, unlabelled: tuple, prior: float) -> tuple[float, np.ndarray]:
+    """R_U(-) - prior * R_P(-), and the slope of the risk at `theta`, whose last entry is the bias.
+
+    Both sides are (row of each weight, weight, number of rows). Where the first is negative, the
+    slope is that of its negative, so that a step down the slope raises it.
+    """
+
+    def sigmoid(z: np.ndarray) -> np.ndarray:
+        return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+
+    (own_p, at_p, n_p), (own_u, at_u, n_u) = positive, unlabelled
+    z_p = theta[-1] + np.bincount(own_p, theta[at_p], n_p)
+    z_u = theta[-1] + np.bincount(own_u, theta[at_u], n_u)
+    negative = np.logaddexp(0, z_u).mean() - prior * np.logaddexp(0, z_p).mean()
+    # derivatives of the two parts by z
+    plus = -prior * sigmoid(-z_p) / n_p
+    minus_u, minus_p = sigmoid(z_u) / n_u, -prior * sigmoid(z_p) / n_p
+    by_p, by_u = (plus + minus_p, minus_u) if negative >= 0 else (-minus_p, -minus_u)
+    slope = np.empty_like(theta)
+    slope[:-1] = np.bincount(at_p, by_p[own_p], len(theta) - 1) + np.bincount(at_u, by_u[own_u], len(theta) - 1)
+    slope[-1] = by_p.sum() + by_u.sum()
+    return float(negative), slope
+
+
 def fit(
     positive: list[np.ndarray],
     unlabelled: list[np.ndarray],
@@ -96,29 +120,17 @@ def fit(
     place = np.full(SIZE, -1, np.int32)
     place[known] = np.arange(len(known))
 
-    def rows(found: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    def rows(found: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, int]:
         places = [(p := place[numbers])[p >= 0] for numbers in found]
         owner = np.repeat(np.arange(len(found)), [len(p) for p in places])
-        return owner, np.concatenate(places)
-
-    def sigmoid(z: np.ndarray) -> np.ndarray:
-        return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+        return owner, np.concatenate(places), len(found)
 
-    (own_p, at_p), (own_u, at_u) = rows(positive), rows(unlabelled)
+    confirmed, others = rows(positive), rows(unlabelled)
     theta = np.append(np.zeros(len(known)), logit)
     first, second = np.zeros_like(theta), np.zeros_like(theta)
     for taken in range(1, steps + 1):
-        z_p = theta[-1] + np.bincount(own_p, theta[at_p], len(positive))
-        z_u = theta[-1] + np.bincount(own_u, theta[at_u], len(unlabelled))
-        negative = np.logaddexp(0, z_u).mean() - prior * np.logaddexp(0, z_p).mean()
-        # derivatives of the two parts by z
-        plus = -prior * sigmoid(-z_p) / len(z_p)
-        minus_u, minus_p = sigmoid(z_u) / len(z_u), -prior * sigmoid(z_p) / len(z_p)
-        by_p, by_u = (plus + minus_p, minus_u) if negative >= 0 else (-minus_p, -minus_u)
-        slope = shrink * theta
-        slope[:-1] += np.bincount(at_p, by_p[own_p], len(known))
-        slope[:-1] += np.bincount(at_u, by_u[own_u], len(known))
-        slope[-1] = by_p.sum() + by_u.sum()
+        slope = slopes(theta, confirmed, others, prior)[1]
+        slope[:-1] += shrink * theta[:-1]
         first = 0.9 * first + 0.1 * slope
         second = 0.999 * second + 0.001 * slope**2
         ahead = first / (1 - 0.9**taken)
@@ -176,7 +188,10 @@ def learn(docs: DataFrame, labels: DataFrame) -> Model:
     # at most about MOST_POSITIVE ids of eight bytes
     positive = _numbers(texts.join(F.broadcast(picked), "doc_id"))
     unlabelled = _numbers(texts.where(_sampled(F.col("doc_id"), MOST_UNLABELLED / n_texts)))
-    return fit(positive, unlabelled, n_toxic / n_labelled)
+    model = fit(positive, unlabelled, n_toxic / n_labelled)
+    del positive, unlabelled
+    give_back()
+    return model
 
 
 def score(docs: DataFrame, model: Model, text: str = "text", name: str = "score") -> DataFrame:

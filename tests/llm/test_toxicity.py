@@ -67,3 +67,44 @@ def test_nothing_to_learn(spark, make_docs, toxic):
     assert {r.score < 0.5 for r in tx.score(docs, tx.learn(docs, labels)).collect()} == {True}
     empty = make_docs([])
     assert tx.score(empty, tx.learn(empty, labels.limit(0))).collect() == []
+
+
+def plain_parts(theta, positive, unlabelled, prior):
+    """prior * R_P(+), and R_U(-) - prior * R_P(-), document by document."""
+
+    def z(words):
+        return theta[-1] + sum(theta[w] for w in words)
+
+    def mean(rows, sign):
+        return sum(np.log(1 + np.exp(sign * z(r))) for r in rows) / len(rows)
+
+    return prior * mean(positive, -1), mean(unlabelled, 1) - prior * mean(positive, 1)
+
+
+def flat(rows):
+    return np.repeat(np.arange(len(rows)), [len(r) for r in rows]), np.array(sum(rows, []), np.int64), len(rows)
+
+
+@pytest.mark.parametrize("prior", [0.1, 0.6])
+def test_slopes_are_those_of_the_plain_risk(prior):
+    rng = random.Random(1)
+    positive, unlabelled = ([rng.sample(range(6), rng.randint(0, 4)) for _ in range(n)] for n in (7, 11))
+    seen = set()
+    for scale in (0.3, 3.0):
+        for _ in range(6):
+            theta = np.array([rng.gauss(0, scale) for _ in range(7)])
+            negative, slope = tx.slopes(theta, flat(positive), flat(unlabelled), prior)
+            plus, want = plain_parts(theta, positive, unlabelled, prior)
+            assert negative == pytest.approx(want)
+            seen.add(want >= 0)
+
+            def goal(t):
+                a, b = plain_parts(t, positive, unlabelled, prior)
+                return a + b if want >= 0 else -b
+
+            for k in range(7):
+                step = np.zeros(7)
+                step[k] = 1e-5
+                number = (goal(theta + step) - goal(theta - step)) / 2e-5
+                assert slope[k] == pytest.approx(number, abs=1e-6)
+    assert seen == ({True, False} if prior > 0.5 else seen)
