@@ -1,6 +1,8 @@
 import hashlib
 import re
+import time
 
+import pytest
 from hypothesis import given
 from hypothesis import strategies as st
 
@@ -77,3 +79,17 @@ def test_redact(spark, make_docs):
         0: ("a [SECRET] b", 12, "x"), 1: (None, None, "x"), 2: ("clean", 5, "x"), 3: ("[SECRET] end", 12, "x"),
     }
     assert sc.redact(make_docs([])).collect() == []
+
+
+@pytest.mark.parametrize("rule", sc.RULES, ids=sc.KINDS)
+def test_a_megabyte_takes_a_rule_no_time(rule):
+    """Repeated beginnings of a secret are not tried again and again."""
+    pieces = ["eyJ", "eyJaaaaaaaa.", "password", "password ", "token=", "xoxb-", "ghp_", "AKIA", "AIza", "a", "0", "-",
+              "-----BEGIN ", "-----BEGIN A ", "://a", "://a:", "://a:bcd", "a:b", " ", "="]
+    pattern = re.compile(rule.pattern, re.ASCII)
+    for piece in pieces:
+        text = piece * (1_000_000 // len(piece))
+        began = time.perf_counter()
+        for _ in pattern.finditer(text):
+            pass
+        assert time.perf_counter() - began < 5, piece
