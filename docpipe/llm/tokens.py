@@ -104,11 +104,8 @@ def count(text: str, encoder: Encoder, chunk: int = CHUNK, overlap: int = OVERLA
             elif end < len(data):
                 reach *= 2
             else:
-                # nothing is shared: the right piece is all that the left one had and the rest
-                found = (-1, -1)
-                if start:
-                    raise AssertionError("no boundary that both sides have")
-                break
+                # the pieces are as wide as they can be and share nothing: the text in one piece
+                return len(piece(0, len(data))[0])
         done += found[0] + 1
         left = tuple(x[found[1] + 1 :] for x in right)
         start, stop = begin, end
