@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from docpipe.llm.common import emit, kept, table
+from docpipe.llm.common import dropped, emit, kept, table
 
 #: The template. Every mark has a control string that no escaped text has.
 TURN, TEXT, END = "<|turn|>", "<|text|>", "<|end|>\n"
@@ -110,6 +110,7 @@ def build(turns: DataFrame, trained_role: str = "assistant") -> tuple[DataFrame,
     # conversations that share a node share all before it, so equal counts are the same ones
     sharing = chained.groupBy("node").agg(F.count("*").alias("sharing"), F.min("conv").alias("owner"))
     nodes = kept(chained.join(sharing, "node"), "tree-nodes")
+    dropped(chained)
     paths = nodes.groupBy("conv", "tree", "sharing").agg(
         F.min("pos").alias("first"), F.min("at").alias("at"), F.sum("size").alias("size"),
         F.min("owner").alias("owner"), F.min(F.struct("pos", "node"))["node"].alias("segment"),
@@ -137,6 +138,7 @@ def build(turns: DataFrame, trained_role: str = "assistant") -> tuple[DataFrame,
         placed.select("segment", "at", "all", "size", (F.col("base") + F.col("before")).alias("start")),
         "tree-segments",
     )
+    dropped(ranged)
     # what each segment attends to: where its ancestors stand
     starts = placed.select(F.col("segment").alias("ancestor"), F.col("start").alias("a_start"))
     links = placed.select("segment", F.explode(F.filter("all", lambda x: x["at"] < F.col("at"))).alias("x"))
@@ -192,15 +194,17 @@ def owned_segments(paths: DataFrame) -> DataFrame:
 def read_back(nodes: DataFrame, paths: DataFrame) -> DataFrame:
     """Each conversation's turns in order as the trees have them.
 
-    `conv`, `position`, `content`, then from the content alone `role`, `said`, and, from the loss
-    mask, `trained`, the unescaped text that it covers or null.
+    `conv`, `position`, `attended` (the length of the intervals that the turn attends to), `content`,
+    then from the content alone `role`, `said`, and, from the loss mask, `trained`, the unescaped
+    text that it covers or null.
     """
     rows = paths.select("conv", "segment").join(nodes, "segment")
     mask = F.col("loss")[0]
     inner = F.substring(F.col("content"), mask["start"] - F.col("start") + 1, mask["end"] - mask["start"])
     pattern = r"(?s)^<\|turn\|>(.*?)<\|text\|>(.*)<\|end\|>\n$"
+    attended = F.aggregate("attends", F.lit(0).cast("long"), lambda n, x: n + x["end"] - x["start"])
     return rows.select(
-        "conv", "position", "content",
+        "conv", "position", attended.alias("attended"), "content",
         unescape(F.regexp_extract("content", pattern, 1)).alias("role"),
         unescape(F.regexp_extract("content", pattern, 2)).alias("said"),
         F.when(F.size("loss") > 0, unescape(inner)).alias("trained"),
@@ -208,10 +212,11 @@ def read_back(nodes: DataFrame, paths: DataFrame) -> DataFrame:
 
 
 def digests(turns: DataFrame) -> DataFrame:
-    """For each conversation of `read_back`: counts and SHA-256 of its turns and its trained text."""
+    """For each conversation of `read_back`: counts and SHA-256 of its turns and its trained text, of
+    its turns' positions, and the length of all that they attend to."""
     schema = (
         "conv string, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, "
-        "formatted_chars long"
+        "formatted_chars long, positions_sha256 string, attended_chars long"
     )
 
     def run(batches):
@@ -220,17 +225,22 @@ def digests(turns: DataFrame) -> DataFrame:
 
         def close():
             if now is not None:
-                out.append((conv, n, said.hexdigest(), chars, trained.hexdigest(), length))
+                places = ",".join(map(str, positions)).encode()
+                out.append((
+                    conv, n, said.hexdigest(), chars, trained.hexdigest(), length,
+                    hashlib.sha256(places).hexdigest(), attended,
+                ))
 
-        conv = n = chars = length = said = trained = None
+        conv = n = chars = length = said = trained = positions = attended = None
         for batch in batches:
-            for key, role, content, loss, size in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for key, role, content, loss, size, position, seen in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if key != now:
                     close()
                     now, conv, n, chars, length = key, key, 0, 0, 0
-                    said, trained = hashlib.sha256(), hashlib.sha256()
+                    said, trained, positions, attended = hashlib.sha256(), hashlib.sha256(), [], 0
                 said.update(f"{role}\n{content}\n".encode())
-                n, length = n + 1, length + size
+                n, length, attended = n + 1, length + size, attended + seen
+                positions.append(position)
                 if loss is not None:
                     chars += len(loss)
                     trained.update(loss.encode())
@@ -239,16 +249,17 @@ def digests(turns: DataFrame) -> DataFrame:
         yield from flush(out)
 
     def flush(out: list[tuple]):
-        kinds = [pa.string(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64()]
+        text, whole = pa.string(), pa.int64()
+        kinds = [text, whole, text, whole, text, whole, text, whole]
         if out:
             columns = [pa.array([r[k] for r in out], kind) for k, kind in enumerate(kinds)]
-            names = ["conv", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
+            names = [part.split()[0] for part in schema.split(", ")]
             out.clear()
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
     size = F.length("content").cast("long").alias("size")
-    wanted = turns.select("conv", "role", "said", "trained", size, "position")
-    ordered = wanted.repartition("conv").sortWithinPartitions("conv", "position").drop("position")
+    wanted = turns.select("conv", "role", "said", "trained", size, "position", "attended")
+    ordered = wanted.repartition("conv").sortWithinPartitions("conv", "position")
     return ordered.mapInArrow(run, schema)
 
 
@@ -274,12 +285,20 @@ def oracle() -> str:
       SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text
       FROM conversations
       UNION ALL SELECT * FROM (VALUES
-        (-7, 0, 'user', '{TRICKY}'), (-7, 1, 'assistant', '{TRICKY}')) v)
+        (-7, 0, 'user', '{TRICKY}'), (-7, 1, 'assistant', '{TRICKY}')) v),
+    sized AS (
+      SELECT *, {extra} + length(role) + length(text)
+        + len(regexp_extract_all(role, '{control}')) + len(regexp_extract_all(text, '{control}')) AS size
+      FROM turns),
+    placed AS (
+      SELECT *, CAST(coalesce(sum(size) OVER (PARTITION BY conv_id ORDER BY turn, role, text
+        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS position
+      FROM sized)
     SELECT conv_id, count(*) AS n_turns,
       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
       CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
-      CAST(sum({extra} + length(role) + length(text)
-        + len(regexp_extract_all(role, '{control}')) + len(regexp_extract_all(text, '{control}'))) AS BIGINT)
-        AS formatted_chars
-    FROM turns GROUP BY conv_id"""
+      CAST(sum(size) AS BIGINT) AS formatted_chars,
+      sha256(string_agg(position, ',' ORDER BY position)) AS positions_sha256,
+      CAST(sum(position) AS BIGINT) AS attended_chars
+    FROM placed GROUP BY conv_id"""
