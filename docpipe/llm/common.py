@@ -1,5 +1,7 @@
 """What the operators share: tables, batch-wise new columns, words and rolling hashes of bytes."""
 
+import ctypes
+import gc
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -36,6 +38,19 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
+def give_back() -> None:
+    """Hand memory that a task has used back to the system.
+
+    Spark's Python workers live on for later tasks, and with them what they hold: garbage in
+    cycles, which every closure sent by value leaves, and free memory of the allocators.
+    """
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def attach(
     df: DataFrame,
     inputs: dict[str, Column],
@@ -53,7 +68,7 @@ def attach(
     names, wanted, n_kept = schema.names, list(inputs), len(kept)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        step = compute()
+        step, batch, rest, ins, out = compute(), None, None, None, None
         for batch in batches:
             rest, ins = batch.columns[:n_kept], batch.columns[n_kept:]
             out = step(pa.RecordBatch.from_arrays(ins, names=wanted))
@@ -61,6 +76,8 @@ def attach(
                 rest + [a if isinstance(a, pa.Array) else pa.array(a) for a in out],
                 names=names,
             )
+        del step, batch, rest, ins, out
+        give_back()
 
     quoted = [F.col(f"`{f.name.replace('`', '``')}`") for f in kept]
     prepared = df.select(*quoted, *[c.alias(fresh(df, f"in_{k}")) for k, c in inputs.items()])
@@ -73,10 +90,12 @@ def emit(
     """Other rows than those of `df`: `compute()(batch)` yields column dictionaries."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        step = compute()
+        step, batch, columns = compute(), None, None
         for batch in batches:
             for columns in step(batch):
                 yield pa.RecordBatch.from_pydict(columns)
+        del step, batch, columns
+        give_back()
 
     return df.mapInArrow(run, schema)
 
