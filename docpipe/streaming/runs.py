@@ -7,8 +7,8 @@ again replaces what a dead run left of it.
 
 import uuid
 from collections.abc import Callable, Iterator
+from typing import TYPE_CHECKING
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,6 +18,9 @@ from docpipe import schemas
 from docpipe.operators import chunks, embed, parse, tables
 from docpipe.operators.index import CONTENT, content_hash
 
+if TYPE_CHECKING:
+    import pandas as pd
+
 # Chunks of a stream say when their document was parsed, and whether a later version lacks them.
 STREAM_CHUNKS = T.StructType(
     [
@@ -123,7 +126,9 @@ class Versions(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.held = handle.getValueState("held", "at long, ids array<string>")
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+    def handleInputRows(self, key, rows, timerValues) -> "Iterator[pd.DataFrame]":
+        import pandas as pd  # in the tasks only
+
         parts = pd.concat(list(rows), ignore_index=True)
         at = int(parts["at"].max())
         before, ids = self.held.get() if self.held.exists() else (None, [])
