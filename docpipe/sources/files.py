@@ -3,7 +3,6 @@
 import re
 import warnings
 from collections.abc import Iterator
-from functools import cache
 from itertools import islice
 
 import pyarrow as pa
@@ -95,18 +94,14 @@ def opened_by_tasks(path: Column) -> Column:
     return path.rlike(OPENED)
 
 
-@cache
-def _store(root: str) -> tuple[fs.FileSystem, str]:
-    return fs.FileSystem.from_uri(root)
-
-
 def locate(path: str) -> tuple[fs.FileSystem, str]:
     """The file system of a path, and its name there. All characters of the name count as they are."""
     found = re.match(r"(s3|s3a|s3n|gs)://([^/]+)/(.*)", path, re.S)
     if found is None:
         return fs.LocalFileSystem(), re.sub(r"^file:/*", "/", path)
     scheme, bucket, name = found.groups()
-    store, base = _store(f"{'s3' if scheme.startswith('s3') else scheme}://{bucket}/")
+    root = f"{'s3' if scheme.startswith('s3') else scheme}://{bucket}/"
+    store, base = fs.FileSystem.from_uri(root)
     return store, f"{base.rstrip('/')}/{name}"
 
 
