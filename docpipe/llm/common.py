@@ -51,6 +51,18 @@ def give_back() -> None:
         trim(0)
 
 
+def settle(spark: SparkSession) -> None:
+    """Between two large pieces of work: free what the first one left on the driver.
+
+    Spark drops shuffles, broadcasts and plans of done work when the driver's JVM collects its
+    garbage, and a full collection makes its heap smaller again.
+    """
+    give_back()
+    jvm = getattr(spark, "_jvm", None)
+    if jvm is not None:
+        jvm.System.gc()
+
+
 def attach(
     df: DataFrame,
     inputs: dict[str, Column],

@@ -24,6 +24,7 @@ from docpipe.llm.common import (
     fresh,
     kept,
     mixed,
+    settle,
     shingle_hashes,
     table,
     text_of,
@@ -326,6 +327,7 @@ def grouped(docs: DataFrame, size: int, percent: int) -> DataFrame:
     are not yet in one component with about LEADERS, and the last what is left, tile by tile, where
     only pairs with close sketches leave a tile. So copies of one text never make all their pairs.
     """
+    settle(docs.sparkSession)
     docs = docs.select("doc_id", text_of().alias("text"))
     work: list[DataFrame] = []
 
@@ -387,6 +389,7 @@ def grouped(docs: DataFrame, size: int, percent: int) -> DataFrame:
 
     def open_keys(roots: DataFrame) -> DataFrame:
         """The members of keys that are not in one component yet."""
+        settle(docs.sparkSession)
         now = members.join(roots.withColumnRenamed("node", "v"), "v", "left")
         now = keep(now.withColumn("root", F.coalesce("root", "v")), "members")
         ends = now.groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("b"))

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from docpipe.llm.common import attach, give_back, table, text_of
+from docpipe.llm.common import attach, settle, table, text_of
 
 #: Weights of the classifier; the hash of a word, or of its beginning, names one.
 SIZE = 1 << 18
@@ -190,7 +190,7 @@ def learn(docs: DataFrame, labels: DataFrame) -> Model:
     unlabelled = _numbers(texts.where(_sampled(F.col("doc_id"), MOST_UNLABELLED / n_texts)))
     model = fit(positive, unlabelled, n_toxic / n_labelled)
     del positive, unlabelled
-    give_back()
+    settle(docs.sparkSession)
     return model
 
 
