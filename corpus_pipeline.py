@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docpipe.llm import decontaminate, mixing, parity_join, secrets, toxicity
-from docpipe.llm.common import fresh, kept, table
+from docpipe.llm.common import fresh, kept, settle, table
 
 #: Near copies share this percentage of their shingles of so many words.
 SHINGLE, PERCENT = 5, 80
@@ -57,4 +57,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         docs = stage(spark, docs, sf_dir)
         if number < len(STAGES) - 1:
             docs = kept(docs, "pipeline-stage")
+            settle(spark)
     return docs
