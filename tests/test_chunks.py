@@ -70,6 +70,20 @@ def test_elements_as_sql_table_function(spark, cases):
     assert by_case(rows) == [c[1] for c in CASES]
 
 
+def test_elements_as_sql_list_stay_where_they_lie(spark, cases):
+    sql.register(spark)
+    found = spark.sql(
+        """
+        SELECT i, e.* FROM (SELECT i, chunk_list(parsed_content) AS found FROM {cases})
+            LATERAL VIEW explode(found) AS e
+        """,
+        cases=cases,
+    )
+    assert by_case(found.collect()) == [c[1] for c in CASES]
+    plan = plan_of(found)
+    assert "Join" not in plan and "Exchange" not in plan
+
+
 def parsed(spark, *rows):
     return spark.createDataFrame([(p, c, datetime(2024, 1, 1)) for p, c in rows], schemas.PARSED_DOCS)
 

@@ -145,7 +145,8 @@ def chunks_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(
         """
         SELECT path, e.chunk_id, clean_chunk(e.content) AS text
-        FROM {parsed}, LATERAL extract_chunks(parsed_content) AS e
+        FROM (SELECT path, chunk_list(parsed_content) AS found FROM {parsed})
+            LATERAL VIEW explode(found) AS e
         """,
         parsed=data.parsed_docs(spark, sf_dir),
     )
