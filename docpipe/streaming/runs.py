@@ -68,8 +68,12 @@ def _append_new(
     """Write each batch below `out`. What reads a folder takes all files below it."""
     name = checkpoint_id(rows.sparkSession, checkpoint)
 
+    # A scan of small files has a task for every few of them, and each would write a file that the
+    # next stream has to find and open. As many tasks as a shuffle has take them together.
+    tasks = tables.default_buckets(rows.sparkSession)
+
     def write(batch: DataFrame, number: int) -> None:
-        change(batch).write.mode("overwrite").parquet(f"{out}/{name}-{number}")
+        change(batch).coalesce(tasks).write.mode("overwrite").parquet(f"{out}/{name}-{number}")
 
     (
         rows.writeStream.foreachBatch(write)

@@ -139,3 +139,17 @@ def test_new_checkpoint_takes_new_and_old_files(spark, work):
     (work / "in/b.html").write_text("<p>two</p>")
     parse(spark, work)
     assert {n for n, _ in follow(spark, work, "log4")} == {"a.html_0", "b.html_0"}
+
+
+def test_a_batch_of_small_files_is_a_few_files(spark, work):
+    """Not one for each task of the scan."""
+    for i in range(9):
+        (work / "in" / f"p{i}.html").write_text(f"<p>page {i}</p>")
+    spark.conf.set("spark.sql.files.openCostInBytes", 1 << 40)
+    try:
+        runs.parse_new_files(spark, f"{work}/in", f"{work}/parsed", f"{work}/log1", "*.html")
+    finally:
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    written = list((work / "parsed").rglob("*.parquet"))
+    assert 0 < len(written) <= int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert runs.read_batches(spark, f"{work}/parsed", schemas.PARSED_DOCS).count() == 9
