@@ -51,16 +51,27 @@ def give_back() -> None:
         trim(0)
 
 
+def collect_on_executors(spark: SparkSession) -> None:
+    """A full garbage collection in the JVM of every executor, by short tasks, two for each core."""
+    tasks = 2 * spark.sparkContext.defaultParallelism
+    collected = F.java_method(F.lit("java.lang.System"), F.lit("gc"))
+    spark.range(0, tasks, 1, tasks).select(collected).write.format("noop").mode("overwrite").save()
+
+
 def settle(spark: SparkSession) -> None:
-    """Between two large pieces of work: free what the first one left on the driver.
+    """Between two large pieces of work: free what the first one left on the driver and the executors.
 
     Spark drops shuffles, broadcasts and plans of done work when the driver's JVM collects its
-    garbage, and a full collection makes its heap smaller again.
+    garbage, and a full collection makes a JVM's heap smaller again. Else an executor's heap would
+    stay as large as it ever was, beside what its Python workers hold.
     """
     give_back()
     jvm = getattr(spark, "_jvm", None)
     if jvm is not None:
         jvm.System.gc()
+        # in local mode the driver's JVM is the only one
+        if not spark.sparkContext.master.startswith("local["):
+            collect_on_executors(spark)
 
 
 def attach(

@@ -1,7 +1,7 @@
 import random
 
 import corpus_pipeline
-from docpipe.llm.common import kept
+from docpipe.llm.common import kept, settle
 
 WORDS = [f"w{a}{b}" for a in "abcdefghij" for b in "abcdefghij"]
 
@@ -51,3 +51,19 @@ def test_no_documents(spark, make_docs, sf_dir):
         benchmark=spark.createDataFrame([], "item_id long, text string"),
     )
     assert corpus_pipeline.run(spark, folder).collect() == []
+
+
+def collections(spark):
+    beans = spark._jvm.java.lang.management.ManagementFactory.getGarbageCollectorMXBeans()
+    return sum(bean.getCollectionCount() for bean in beans)
+
+
+def test_executors_collect_garbage_between_stages(spark, monkeypatch):
+    before = collections(spark)
+    settle(spark)
+    alone = collections(spark) - before
+    # here the executors' JVM is the driver's too
+    monkeypatch.setattr(spark.sparkContext, "master", "local-cluster[1,4,1024]")
+    before = collections(spark)
+    settle(spark)
+    assert collections(spark) - before > alone >= 1
