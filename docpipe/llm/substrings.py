@@ -152,7 +152,7 @@ def _cuts(docs: DataFrame, parts: DataFrame, length: int, trigger: int, together
     lists = parts.groupBy(*KEY).agg(F.collect_list(F.struct("g", "s", "at", "shape", "alone")).alias("parts"))
 
     def compute():
-        rolling = Rolling(0x5851F42D4C957F2D)
+        rolling, seen = Rolling(0x5851F42D4C957F2D), set()
 
         def hashes(text: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
             out = np.empty(len(start), np.uint64)
@@ -167,12 +167,19 @@ def _cuts(docs: DataFrame, parts: DataFrame, length: int, trigger: int, together
         def step(batch: pa.RecordBatch):
             ka, kb = (batch.column(k).to_numpy() for k in KEY)
             for row in range(batch.num_rows):
+                # copies of a text would come with the same rows: a task makes them once
+                if (own := (int(ka[row]), int(kb[row]))) in seen:
+                    continue
+                seen.add(own)
                 text = np.frombuffer(batch.column("text")[row].as_py().encode(), np.uint8)
                 fields = batch.column("parts")[row].values
                 g, s, at, shape, alone = (
                     fields.field(k).to_numpy(zero_copy_only=False)
                     for k in ("g", "s", "at", "shape", "alone")
                 )
+                # phrases and runs of one text start at different places, but may be listed again
+                once = np.unique(at, return_index=True)[1]
+                g, s, at, shape, alone = (x[once] for x in (g, s, at, shape, alone))
                 n, lead = shape >> 16, shape & 0xFFFF
                 # the first window is `lead` before the trigger, the last lead - n + 1
                 low, high = (lead - n + 1) // together, lead // together
@@ -204,8 +211,7 @@ def _cuts(docs: DataFrame, parts: DataFrame, length: int, trigger: int, together
 
     texts = docs.select(*keys(F.col("text")), "text").join(lists, KEY)
     schema = "ka long, kb long, g long, s long, at long, shape long, alone boolean, j long, outer long, core long"
-    # copies of a text come with the same rows
-    return emit(texts.select(*KEY, "text", "parts"), schema, compute).distinct()
+    return emit(texts.select(*KEY, "text", "parts"), schema, compute)
 
 
 def _shared(runs: DataFrame, name: str) -> DataFrame:

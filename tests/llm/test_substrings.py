@@ -92,6 +92,22 @@ def test_repeated_rows_are_documents(spark, make_docs):
     assert [bytes(r.kept) for r in ss.remove_repeated(make_docs([None])).collect()] == [b""]
 
 
+def test_runs_of_copies_are_made_once_and_not_shuffled(spark, make_docs, capsys):
+    texts = corpus()
+    docs = make_docs(texts * 3).where("text is not null").coalesce(1)
+    once = make_docs([t for t in dict.fromkeys(texts) if t is not None])
+    parts = ss.parse(once, 200, ss.TRIGGER).withColumn("alone", ss.F.col("s") % 2 == 0)
+    want = ss._cuts(once, parts, 200, ss.TRIGGER, 8).collect()
+    # listed twice, as from two tasks
+    cuts = ss._cuts(docs, parts.unionByName(parts), 200, ss.TRIGGER, 8)
+    got = cuts.collect()
+    assert set(got) == set(want) and len(want) == len(set(want)) > 100
+    keyed = [tuple(r) for r in got]
+    assert len(keyed) == len(set(keyed))
+    cuts.explain()
+    assert not [x for x in capsys.readouterr().out.split("\n") if "Aggregate" in x and "outer" in x]
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.text("ab", max_size=120), min_size=1, max_size=5), st.integers(20, 30), st.integers(4, 18))
 def test_every_window_is_in_one_phrase(texts, length, trigger):
